@@ -7,8 +7,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+_TYPES = {
+    "string": T.StringType(),
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+    "boolean": T.BooleanType(),
+    "date": T.DateType(),
+    "timestamp": T.TimestampType(),
+    "array<float>": T.ArrayType(T.FloatType()),
+}
+
+
 def _struct(spec: str) -> T.StructType:
-    return T.StructType.fromDDL(spec)
+    # StructType.fromDDL would need a running session when the module is imported
+    columns = (column.split() for column in spec.split(","))
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in columns])
 
 
 RAW_ARTICLE_COLUMNS = (

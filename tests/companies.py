@@ -1,0 +1,26 @@
+"""The company master data that expected results refer to."""
+
+COMPANIES = [
+    ("OpenAI", 2006, "Austin, TX", 12793, "Data Analytics", False, "OPEN"),
+    ("Anthropic", 2006, "San Francisco, CA", 43747, "FinTech", False, None),
+    ("Google DeepMind", 2017, "Austin, TX", 24274, "Data Analytics", False, None),
+    ("Meta AI", 2001, "Seattle, WA", 20240, "Data Analytics", True, None),
+    ("Microsoft", 2018, "Austin, TX", 48646, "Data Analytics", False, None),
+    ("Amazon Web Services", 2015, "Berlin, Germany", 27826, "SaaS", False, None),
+    ("Tesla", 2008, "London, UK", 5691, "Cloud Computing", True, None),
+    ("NVIDIA", 2017, "London, UK", 22031, "AI/ML", False, None),
+    ("Databricks", 2003, "Berlin, Germany", 17962, "Data Analytics", True, "DATA"),
+    ("Snowflake", 2012, "London, UK", 49545, "Cloud Computing", True, None),
+    ("Stripe", 2002, "Seattle, WA", 36348, "Data Analytics", True, "STRI"),
+    ("Airbnb", 1999, "London, UK", 19967, "Data Analytics", False, None),
+    ("Uber", 2015, "San Francisco, CA", 10144, "FinTech", False, "UBER"),
+    ("SpaceX", 2016, "Berlin, Germany", 31018, "AI/ML", False, None),
+    ("Palantir", 2005, "Berlin, Germany", 42306, "Cloud Computing", True, None),
+    ("Cloudflare", 1998, "Austin, TX", 4422, "Cybersecurity", False, "CLOU"),
+    ("MongoDB", 2008, "Austin, TX", 16952, "SaaS", False, "MONG"),
+    ("Elastic", 2016, "San Francisco, CA", 24508, "Cybersecurity", True, "ELAS"),
+    ("Confluent", 1995, "London, UK", 3884, "Cloud Computing", False, None),
+    ("DataRobot", 2012, "New York, NY", 23471, "Cloud Computing", True, None),
+    ("Scale AI", 2003, "Berlin, Germany", 23379, "AI/ML", False, None),
+]
+COMPANY_NAMES = [c[0] for c in COMPANIES]
