@@ -61,6 +61,8 @@ DIM_ARTICLE = T.StructType(
     + _struct("company_age bigint, company_size_category string").fields
 )
 
+DIM_ARTICLE_EMBEDDED = T.StructType(DIM_ARTICLE.fields + _struct("embedding array<float>").fields)
+
 EMBEDDINGS = _struct("article_id string, embedding array<float>")
 
 FACT_ARR_OBSERVATION = _struct(

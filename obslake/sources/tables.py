@@ -3,15 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
 
 from obslake import schemas
 
 TABLE_SCHEMAS = {
     "silver_articles": schemas.SILVER_ARTICLES,
     "dim_company": schemas.DIM_COMPANY,
-    "dim_article": schemas.DIM_ARTICLE.add("embedding", T.ArrayType(T.FloatType()))
-    if "embedding" not in schemas.DIM_ARTICLE.names else schemas.DIM_ARTICLE,
+    "dim_article": schemas.DIM_ARTICLE_EMBEDDED,
     "fact_arr_observation": schemas.FACT_ARR_OBSERVATION,
     "parse_errors": schemas.PARSE_ERRORS,
     "unmatched_companies": schemas.UNMATCHED_COMPANIES,
