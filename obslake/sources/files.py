@@ -47,18 +47,12 @@ def file_hashes(spark: SparkSession, path: str) -> DataFrame:
     """(source_file, source_hash): SHA-1 of each file's bytes."""
     files = spark.read.format("binaryFile").load(path)
     return files.where(F.col("length") <= LARGEST_HASHED_FILE).select(
-        F.col("path").alias("source_file"), F.sha1("content").alias("source_hash"))
-
-
-def _same_spelling(df: DataFrame) -> DataFrame:
-    # one reader writes local paths as file:/x, the other as file:///x
-    return df.withColumn("source_file", F.regexp_replace("source_file", "^file:/+", "file:/"))
+        F.col("_metadata.file_path").alias("source_file"), F.sha1("content").alias("source_hash"))
 
 
 def with_provenance(rows: DataFrame, path: str) -> DataFrame:
     """Add the file's hash and the time of the run to rows that carry ``source_file``."""
-    hashes = _same_spelling(file_hashes(rows.sparkSession, path))
-    return lookup_join(_same_spelling(rows), hashes, "source_file").select(
+    return lookup_join(rows, file_hashes(rows.sparkSession, path), "source_file").select(
         *[c for c in rows.columns if c != "source_file"],
         "source_file", "source_hash", F.current_timestamp().alias("ingested_at"))
 

@@ -34,7 +34,7 @@ def expected(cells, overrides=()):
 
 
 def test_ingest_update_replay_and_compaction(spark, place):
-    rows = truth()[:60]
+    rows = truth()[180:240]
     cells = [r["cells"] for r in rows]
     companies = read_companies(spark, str(place / "companies.json"))
     write_articles(place / "in" / "one.csv", cells[:40])
