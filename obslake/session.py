@@ -28,12 +28,16 @@ def _work_dir(spark: SparkSession) -> str:
     return shared.rstrip("/")
 
 
+def work_folder(spark: SparkSession, name: str) -> str:
+    """A folder of its own for one run, in the shared folder."""
+    return f"{_work_dir(spark)}/obslake-{name}-{uuid.uuid4().hex}"
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write a result that is read more than once to the shared folder and read it back.
 
     The copy survives the loss of executors, cuts the lineage and has known file sizes.
     """
-    spark = df.sparkSession
-    path = f"{_work_dir(spark)}/obslake-{name}-{uuid.uuid4().hex}"
+    path = work_folder(df.sparkSession, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

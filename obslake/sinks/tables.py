@@ -54,5 +54,6 @@ def csv_ready(df: DataFrame) -> DataFrame:
 def write_csv(df: DataFrame, root: str, name: str) -> None:
     csv_ready(df).write.mode("overwrite").options(
         header=True, quote='"', escape='"', emptyValue="", nullValue="",
+        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
         timestampFormat="yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
     ).csv(f"{root.rstrip('/')}/{name}")
