@@ -1,76 +1,84 @@
 """Revenue text -> whole US dollars, as native expressions over a whole table.
 
 The work is laid out as a chain of projections, each step a column that the next step reads, so
-each regular expression runs once per row. A step whose input is NULL costs nothing: the two
-range sides are only filled in for ranges, and the text as a whole is only read when they did
-not settle the value.
+each regular expression runs once per row, and only on rows that a plain substring test has let
+through. A step whose input is NULL costs nothing, as for the second side of what is no range.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from obslake.functions.text import evaluate_once, lookup, strip
 from obslake.rules import CURRENCY_SYMBOLS, DEFAULT_RULES, SCALE_LETTERS, SCALE_WORDS, Rules
 
-# Fixed patterns of the accepted notation.
-CODE = r"(?iU)\b(USD|EUR|GBP|JPY)\b"
+# Fixed patterns of the accepted notation. A code and a suffix letter must not run into a word,
+# where any letter, digit or underscore continues one.
+CODES = ("usd", "eur", "gbp", "jpy")
+CODE = r"(?i)(?<![\p{L}\p{N}_])(USD|EUR|GBP|JPY)(?![\p{L}\p{N}_])"
 WORD = r"(?i)(thousand|million|billion|trillion)"
-SUFFIX = r"(?U)([0-9][0-9.,]*)\s*([KMBTkmbt])\b"
+SUFFIX = r"[0-9][.,]*+(?U:\s*+)([KMBTkmbt])(?![\p{L}\p{N}_])"
 NUMBER = r"[0-9][0-9.,]*"
-RANGE = r"(?U)\s*(?:-|to|–|—)\s*"
+RANGE_MARKS = ("-", "to", "–", "—")
+RANGE = "-|to|–|—"
+
 
+def _contains_any(text: Column, parts: tuple[str, ...]) -> Column:
+    return reduce(lambda a, b: a | b, [text.contains(p) for p in parts])
 
-def currency_of(text: Column) -> Column:
+
+def currency_of(text: Column, may_hold_code: Column) -> Column:
     """First currency symbol found, else an ISO code, else USD."""
-    code = F.upper(F.regexp_extract(text, CODE, 1))
-    result = None
+    result = F.when(text.isNull(), None)
     for symbol, currency in CURRENCY_SYMBOLS.items():
-        hit = text.contains(symbol)
-        result = F.when(hit, currency) if result is None else result.when(hit, currency)
-    return result.when(code != "", code).otherwise("USD")
+        result = result.when(text.contains(symbol), currency)
+    code = F.when(may_hold_code, F.nullif(F.upper(F.regexp_extract(text, CODE, 1)), F.lit("")))
+    return result.otherwise(F.coalesce(code, F.lit("USD")))
 
 
-def _with_amounts(df: DataFrame, sources: dict[str, str], rules: Rules) -> DataFrame:
-    """For each (text column -> output column), read one amount in US dollars as a double."""
+def _with_amounts(df: DataFrame, names: list[str], rules: Rules) -> DataFrame:
+    """Read one amount, in US dollars, from each text column; the results get the suffix _usd.
+
+    The table-wide columns _m_code and _m_word say whether a row can hold a code or a scale word.
+    """
+    may_hold_code, may_hold_word = F.col("_m_code"), F.col("_m_word")
 
     def step(frame: DataFrame, name: str, build) -> DataFrame:
-        return frame.withColumns({f"{out}_{name}": build(src, out) for src, out in sources.items()})
-
-    def at(out: str, name: str) -> Column:
-        return F.col(f"{out}_{name}")
-
-    def without_suffix(out: str) -> Column:
-        letter, rest = at(out, "letter"), at(out, "rest")
-        cut = F.overlay(rest, F.lit(""), F.instr(rest, letter), F.lit(1))
-        return F.when(letter == "", rest).otherwise(cut)
-
-    def plain_number(out: str) -> Column:
-        number = at(out, "number")
-        many_dots = F.length(number) - F.length(F.replace(number, F.lit("."), F.lit(""))) > 1
-        plain = F.when(many_dots, F.replace(number, F.lit("."), F.lit(""))).otherwise(number)
-        return plain.try_cast("double")
-
-    def scale(out: str) -> Column:
-        by_letter = lookup(F.upper(at(out, "letter")), SCALE_LETTERS)
-        by_word = lookup(at(out, "word"), SCALE_WORDS)
-        return F.coalesce(by_letter, by_word, F.lit(1.0))
-
-    symbols = "".join(CURRENCY_SYMBOLS)
-    df = step(df, "bare", lambda src, out: F.translate(F.regexp_replace(src, CODE, ""), symbols, ""))
-    df = step(df, "word", lambda src, out: F.lower(F.regexp_extract(at(out, "bare"), WORD, 1)))
-    df = step(df, "rest", lambda src, out: F.when(at(out, "word") == "", at(out, "bare"))
-              .otherwise(F.regexp_replace(at(out, "bare"), WORD, "")))
-    df = step(df, "letter", lambda src, out: F.regexp_extract(at(out, "rest"), SUFFIX, 2))
-    df = step(df, "number", lambda src, out: F.replace(
-        F.regexp_extract(without_suffix(out), NUMBER, 0), F.lit(","), F.lit("")))
-    df = df.withColumns({
-        out: plain_number(out) * scale(out) * lookup(currency_of(F.col(src)), dict(rules.fx_to_usd))
-        for src, out in sources.items()
-    })
-    steps = ("bare", "word", "rest", "letter", "number")
-    return df.drop(*[f"{out}_{name}" for out in sources.values() for name in steps])
+        return frame.withColumns({f"{n}_{name}": build(lambda c, n=n: F.col(f"{n}{c}")) for n in names})
+
+    def without_codes(at) -> Column:
+        text = F.when(may_hold_code, F.regexp_replace(at(""), CODE, "")).otherwise(at(""))
+        return F.translate(text, "".join(CURRENCY_SYMBOLS), "")
+
+    def digits(at) -> Column:
+        # the suffix letter goes once, wherever it first occurs
+        cut = F.overlay(at("_rest"), F.lit(""), F.instr(at("_rest"), at("_letter")), F.lit(1))
+        text = F.when(at("_letter") == "", at("_rest")).otherwise(cut)
+        return F.replace(F.regexp_extract(text, NUMBER, 0), F.lit(","), F.lit(""))
+
+    def amount(at) -> Column:
+        # several dots separate thousands
+        undotted = F.replace(at("_digits"), F.lit("."), F.lit(""))
+        many_dots = F.length(at("_digits")) - F.length(undotted) > 1
+        value = F.when(many_dots, undotted).otherwise(at("_digits")).try_cast("double")
+        letter = lookup(F.upper(at("_letter")), SCALE_LETTERS)
+        scale = F.coalesce(letter, lookup(at("_scale_word"), SCALE_WORDS), F.lit(1.0))
+        return value * scale * lookup(at("_currency"), dict(rules.fx_to_usd))
+
+    df = step(df, "bare", without_codes)
+    df = step(df, "scale_word", lambda at: F.when(
+        may_hold_word, F.lower(F.regexp_extract(at("_bare"), WORD, 1))))
+    df = step(df, "rest", lambda at: F.when(
+        may_hold_word, F.regexp_replace(at("_bare"), WORD, "")).otherwise(at("_bare")))
+    df = step(df, "letter", lambda at: F.regexp_extract(at("_rest"), SUFFIX, 1))
+    df = step(df, "digits", digits)
+    df = step(df, "currency", lambda at: currency_of(at(""), may_hold_code))
+    df = step(df, "usd", amount)
+    done = ("bare", "scale_word", "rest", "letter", "digits")
+    return df.drop(*[f"{n}_{name}" for n in names for name in done])
 
 
 def with_parsed_revenue(
@@ -78,42 +86,48 @@ def with_parsed_revenue(
 ) -> DataFrame:
     """Add ``out``: struct(arr_usd, currency_original, is_range, parse_status, raw_value, note).
 
-    A range counts as one when splitting gives exactly two sides that both hold an amount; each
+    A range counts as one when splitting gives exactly two sides that both hold a number; each
     side is scaled and converted on its own and the midpoint is taken. Rounding is half to even.
     """
-    text, parts = F.col("_m_text"), F.col("_m_parts")
-    missing = text.isNull() | (text == "") | F.lower(text).isin(*rules.missing_revenue)
-
-    def side(i: int) -> Column:
-        return F.when(F.size(parts) == 2, F.get(parts, F.lit(i)))
+    text, folded, parts, ranged = (F.col(f"_m_{c}") for c in ("text", "folded", "parts", "range"))
+    missing = F.col("_m_missing")
+    digit = "[0-9]"
 
     df = df.withColumn("_m_text", strip(F.col(column)))
-    df = df.withColumn("_m_missing", missing)
-    df = df.withColumn("_m_parts", F.when(~F.col("_m_missing"), F.split(text, RANGE)))
-    df = df.withColumns({"_m_low_text": side(0), "_m_high_text": side(1)})
-    df = _with_amounts(df, {"_m_low_text": "_m_low", "_m_high_text": "_m_high"}, rules)
-    df = df.withColumn("_m_range", F.col("_m_low").isNotNull() & F.col("_m_high").isNotNull())
-    df = df.withColumn("_m_whole_text", F.when(~F.col("_m_missing") & ~F.col("_m_range"), text))
-    df = _with_amounts(df, {"_m_whole_text": "_m_whole"}, rules)
-    amount = F.when(F.col("_m_range"), (F.col("_m_low") + F.col("_m_high")) / 2.0).otherwise(
-        F.col("_m_whole"))
+    df = df.withColumn("_m_folded", F.lower(text))
+    df = df.withColumns({
+        "_m_missing": text.isNull() | (text == "") | folded.isin(*rules.missing_revenue),
+        "_m_code": _contains_any(folded, CODES),
+        "_m_word": _contains_any(folded, ("illion", "thousand")),
+    })
+    df = df.withColumn("_m_parts", F.when(
+        ~missing & _contains_any(text, RANGE_MARKS), F.split(text, RANGE)))
+    df = df.withColumn("_m_range", F.coalesce(
+        (F.size(parts) == 2) & F.get(parts, F.lit(0)).rlike(digit)
+        & F.get(parts, F.lit(1)).rlike(digit), F.lit(False)))
+    df = df.withColumns({
+        "_m_first": F.when(ranged, F.get(parts, F.lit(0))).when(~missing, text),
+        "_m_second": F.when(ranged, F.get(parts, F.lit(1))),
+    })
+    df = _with_amounts(df, ["_m_first", "_m_second"], rules)
+    first, second = F.col("_m_first_usd"), F.col("_m_second_usd")
+    amount = F.when(ranged, (first + second) / 2.0).otherwise(first)
     df = df.withColumn("_m_usd", F.rint(amount).try_cast("bigint"))
 
     usd = F.col("_m_usd")
+    # the currency of a range is read from its whole text
+    currency = F.when(ranged, currency_of(text, F.col("_m_code"))).otherwise(
+        F.col("_m_first_currency"))
     status = (
-        F.when(F.col("_m_missing"), "invalid_missing")
-        .when(usd.isNull(), "unparseable")
-        .when(F.col("_m_range"), "valid_range")
-        .otherwise("valid")
-    )
+        F.when(missing, "invalid_missing").when(usd.isNull(), "unparseable")
+        .when(ranged, "valid_range").otherwise("valid"))
     parsed = F.struct(
         usd.alias("arr_usd"),
-        F.when(usd.isNotNull(), currency_of(text)).alias("currency_original"),
-        (F.col("_m_range") & usd.isNotNull()).alias("is_range"),
+        F.when(usd.isNotNull(), currency).alias("currency_original"),
+        (ranged & usd.isNotNull()).alias("is_range"),
         status.alias("parse_status"),
         text.alias("raw_value"),
         F.lit(None).cast("string").alias("note"),
     )
-    return evaluate_once(df, **{out: parsed}).drop(
-        "_m_text", "_m_missing", "_m_parts", "_m_low_text", "_m_high_text", "_m_low", "_m_high",
-        "_m_range", "_m_whole_text", "_m_whole", "_m_usd")
+    steps = [c for c in df.columns if c.startswith("_m_")]
+    return evaluate_once(df, **{out: parsed}).drop(*steps)

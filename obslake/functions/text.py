@@ -26,11 +26,8 @@ def fold_null_tokens(col: Column) -> Column:
 
 def lookup(col: Column, table: dict) -> Column:
     """Map a column through a small fixed table; values outside it become NULL."""
-    result = None
-    for key, value in table.items():
-        hit = col == F.lit(key)
-        result = F.when(hit, F.lit(value)) if result is None else result.when(hit, F.lit(value))
-    return result if result is not None else F.lit(None)
+    entries = F.create_map(*[F.lit(x) for entry in table.items() for x in entry])
+    return F.try_element_at(entries, col)
 
 
 def compact(col: Column) -> Column:

@@ -10,6 +10,8 @@ piece text), which is an equi-join key; nothing is compared all against all and
 
 from __future__ import annotations
 
+from math import ceil
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,6 +20,7 @@ from pyspark.sql.types import DoubleType
 SPACES = r"(?U)[\s\x1c-\x1f]+"
 # below this ratio a text may be shorter than the number of pieces it has to be cut into
 LOWEST_THRESHOLD = 67.0
+NAMES_PER_TASK = 50_000
 
 
 def sorted_tokens(name: Column) -> Column:
@@ -108,7 +111,6 @@ def _name_pieces(names: DataFrame, threshold: float) -> DataFrame:
         .withColumn("from", F.explode(F.when(first <= last, F.sequence(first, last))))
         .select("name", "a", "lb", "pieces", "piece",
                 F.substring("a", F.col("from") + 1, size).alias("piece_text"))
-        .distinct()
     )
 
 
@@ -120,7 +122,10 @@ def best_fuzzy_match(names: DataFrame, canonicals: DataFrame, threshold: float)
     """
     if threshold < LOWEST_THRESHOLD:
         raise ValueError(f"the threshold must be at least {LOWEST_THRESHOLD}")
-    left = _name_pieces(names, threshold).alias("l")
+    # a name turns into hundreds of keys, so tasks are sized by names and not by their few bytes
+    tasks = max(names.sparkSession.sparkContext.defaultParallelism,
+                ceil(names.count() / NAMES_PER_TASK))
+    left = _name_pieces(names.repartition(tasks, "name"), threshold).alias("l")
     right = _canonical_pieces(canonicals, threshold).alias("r")
     same = [F.col(f"l.{c}") == F.col(f"r.{c}") for c in ("lb", "pieces", "piece", "piece_text")]
     near = F.expr("levenshtein(l.a, r.b, l.pieces - 1) >= 0")

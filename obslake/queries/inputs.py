@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from obslake.session import spread
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -95,7 +97,10 @@ def company_text(customer: Column) -> Column:
 def messy_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw articles, one per order."""
     key, day = F.col("o_orderkey"), F.col("o_orderdate").cast("date")
-    return table(spark, sf_dir, "orders").select(
+    orders = spread(table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
+        "o_orderpriority"))
+    return orders.select(
         key.cast("string").alias("article_id"),
         F.concat(F.lit("Order "), key.cast("string")).alias("title"),
         company_text(F.col("o_custkey")).alias("company_name"),

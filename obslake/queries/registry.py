@@ -25,7 +25,7 @@ from obslake.queries.inputs import (
     with_point,
 )
 from obslake.rules import DEFAULT_RULES
-from obslake.session import materialise, work_folder
+from obslake.session import materialise, spread, work_folder
 from obslake.sinks.tables import write_csv, write_table
 from obslake.sources.files import read_companies, scan_articles
 from obslake.sources.tables import read_table
@@ -44,7 +44,8 @@ def query(function: Query) -> Query:
 # --- revenue text -------------------------------------------------------------------------------
 
 def _revenue(spark: SparkSession, sf_dir: str, text: Column) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", text.alias("revenue"))
+    orders = spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")).select(
+        "o_orderkey", text.alias("revenue"))
     parsed = with_parsed_revenue(orders, "revenue", "p")
     return parsed.select(
         "o_orderkey", F.col("p.arr_usd").alias("arr_usd"),
@@ -94,7 +95,8 @@ def revenue_lineitem(spark, sf_dir):
     text = F.when(F.col("l_linenumber") % 3 == 0, F.concat(F.lit("$"), with_commas(n))).when(
         F.col("l_linenumber") % 3 == 1, F.concat(with_point(n, 3), F.lit("K USD"))).otherwise(
         F.concat(n.cast("string"), F.lit(" - "), (n + 10).cast("string")))
-    rows = table(spark, sf_dir, "lineitem").select("l_suppkey", text.alias("revenue"))
+    lines = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_linenumber", "l_extendedprice")
+    rows = spread(lines).select("l_suppkey", text.alias("revenue"))
     parsed = with_parsed_revenue(rows, "revenue", "p")
     return parsed.groupBy("l_suppkey").agg(
         F.sum("p.arr_usd").alias("arr_usd"), F.count(F.lit(1)).alias("n"),
@@ -262,7 +264,9 @@ def ai_export_filter(spark, sf_dir):
 def order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Observations with each customer as a company, from the messy texts."""
     key, day = F.col("o_orderkey"), F.col("o_orderdate").cast("date")
-    rows = table(spark, sf_dir, "orders").select(
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
+    rows = spread(orders).select(
         "o_orderkey", "o_custkey", revenue_text(whole_price(), key).alias("revenue_raw"),
         date_text(day, key).alias("published_date_raw"))
     parsed = with_parsed_revenue(
@@ -394,7 +398,8 @@ def vector_hybrid(spark, sf_dir):
 @query
 def text_encoding(spark, sf_dir):
     """Encode every document in full; reports the shape of each vector."""
-    encoded = encode_text(table(spark, sf_dir, "documents"), F.col("text"), id_column="doc_id")
+    documents = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    encoded = encode_text(documents, F.col("text"), id_column="doc_id")
     vector = F.col("embedding")
     return encoded.select(
         "doc_id",

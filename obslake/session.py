@@ -8,15 +8,35 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-def build_session(app_name: str = "obslake") -> SparkSession:
+SETTINGS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.session.timeZone": "UTC",
+}
+
+
+# The JVM does not compile methods above 8000 bytes of bytecode unless told to, and the fused method
+# of a stage that parses dates and money is larger. Pass this to drivers and executors, see README.
+JVM_OPTIONS = "-XX:-DontCompileHugeMethods"
+
+
+def build_session(app_name: str = "obslake", **extra: str) -> SparkSession:
     """Session for spark-submit; master, memory and cores come from the submit command."""
-    return (
-        SparkSession.builder.appName(app_name)
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
-        .getOrCreate()
-    )
+    builder = SparkSession.builder.appName(app_name)
+    for key, value in {**SETTINGS, **extra}.items():
+        builder = builder.config(key, value)
+    return builder.getOrCreate()
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give every core a share of a source that has fewer splits than there are cores.
+
+    A small file, a file with one row group or a multi-line CSV file is one task however costly
+    its rows are. Inputs with enough splits are left alone, so at scale this adds no shuffle.
+    Meant for plain scans, whose number of splits is known without running anything.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def _work_dir(spark: SparkSession) -> str:

@@ -1,4 +1,3 @@
-import os
 import sys
 import tempfile
 from pathlib import Path
@@ -7,7 +6,6 @@ import pytest
 from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
-os.environ.setdefault("PYTHONPATH", str(Path(__file__).resolve().parent.parent))
 
 
 @pytest.fixture(scope="session")
