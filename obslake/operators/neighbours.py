@@ -24,7 +24,10 @@ from pyspark.sql import types as T
 
 from obslake.functions.vectors import SMALLEST_NORM
 from obslake.operators.lookup import lookup_join
+from obslake.session import materialise
 
+# a cell of the grid holds two blocks; at 384 dimensions a block is 25 MB, or 50 MB in doubles
+BLOCK_ROWS = 16_384
 ROWS_AT_ONCE = 256
 # scores closer than this are equal, so copies tie whatever order the sums were taken in
 DECIMALS = 12
@@ -112,7 +115,7 @@ def _candidates(cells: DataFrame, k: int) -> DataFrame:
 
 def top_neighbours(
     vectors: DataFrame, k: int = 3, id_column: str = "article_id",
-    vector_column: str = "embedding", block_rows: int = 8192,
+    vector_column: str = "embedding", block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Exact search: (id, rank, neighbour, similarity), best first, equal scores by lowest id.
 
@@ -143,15 +146,15 @@ def projection_buckets(
 
 def approximate_neighbours(
     vectors: DataFrame, k: int = 3, id_column: str = "article_id",
-    vector_column: str = "embedding", block_rows: int = 8192, tables: int = 4,
+    vector_column: str = "embedding", block_rows: int = BLOCK_ROWS, tables: int = 4,
     bucket_length: float = 0.5,
 ) -> DataFrame:
     """Opt-in search that may miss neighbours which share no bucket; scores are exact."""
     rows = vectors.where(F.col(vector_column).isNotNull()).select(
         F.col(id_column).alias("id"), F.col(vector_column).alias("vector"))
     hashed = projection_buckets(rows, tables, bucket_length)
-    sizes = hashed.groupBy("bucket").agg(
-        F.ceil(F.count(F.lit(1)) / F.lit(block_rows)).alias("bucket_blocks"))
+    sizes = materialise(hashed.groupBy("bucket").agg(
+        F.ceil(F.count(F.lit(1)) / F.lit(block_rows)).alias("bucket_blocks")), "bucket-sizes")
     cells = _cells(lookup_join(hashed, sizes, "bucket"), F.col("bucket_blocks"))
     pairs = _candidates(cells, k).groupBy("id", "neighbour").agg(F.max("score").alias("score"))
     return _ranked(pairs, k)

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from obslake.functions.vectors import dot, literal, norm
+from obslake.operators.encode import LexicalEncoder
 
 
 def find_similar(
@@ -69,3 +70,19 @@ def hybrid_search(
 def encode_query(text: str, encoder_factory: Callable) -> list[float]:
     """Vector of one query text."""
     return [float(x) for x in encoder_factory()([text])[0]]
+
+
+def find_similar_articles(
+    vectors: DataFrame, query_text: str, top_k: int = 5,
+    encoder_factory: Callable = LexicalEncoder,
+) -> DataFrame:
+    """Semantic search by free text; the encoder must be the one that made the vectors."""
+    return find_similar(vectors, encode_query(query_text, encoder_factory), top_k)
+
+
+def hybrid_search_articles(
+    articles: DataFrame, query_text: str, top_k: int = 5,
+    encoder_factory: Callable = LexicalEncoder, **conditions,
+) -> DataFrame:
+    """Hybrid search by free text over articles with embeddings."""
+    return hybrid_search(articles, encode_query(query_text, encoder_factory), top_k, **conditions)

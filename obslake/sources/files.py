@@ -10,6 +10,7 @@ from obslake.functions.company import lenient_boolean, lenient_long
 from obslake.functions.text import fold_null_tokens
 from obslake.operators.lookup import lookup_join
 from obslake.schemas import BRONZE_COMPANIES, conform
+from obslake.session import materialise
 
 # a file above this size cannot be read into one value, so its hash stays NULL
 LARGEST_HASHED_FILE = 2**31 - 1
@@ -52,7 +53,9 @@ def file_hashes(spark: SparkSession, path: str) -> DataFrame:
 
 def with_provenance(rows: DataFrame, path: str) -> DataFrame:
     """Add the file's hash and the time of the run to rows that carry ``source_file``."""
-    return lookup_join(rows, file_hashes(rows.sparkSession, path), "source_file").select(
+    # kept as a table: hashing reads every file, and the join looks at the hashes more than once
+    hashes = materialise(file_hashes(rows.sparkSession, path), "file-hashes")
+    return lookup_join(rows, hashes, "source_file").select(
         *[c for c in rows.columns if c != "source_file"],
         "source_file", "source_hash", F.current_timestamp().alias("ingested_at"))
 

@@ -20,6 +20,7 @@ from obslake.operators.series import latest_observation
 from obslake.plans.silver import clean_articles
 from obslake.rules import DEFAULT_RULES, Rules
 from obslake.schemas import RAW_ARTICLES, SILVER_ARTICLES
+from obslake.session import materialise
 from obslake.sources.files import csv_options
 
 CLEANED = T.StructType(SILVER_ARTICLES.fields + [
@@ -49,8 +50,8 @@ def append_batch(
     content, so a replay picks the same one.
     """
     order = F.struct("file_time", "source_file", F.to_json(F.struct(*RAW_ARTICLES.names)))
-    newest = latest_observation(
-        batch.withColumn("_order", order), ["article_id"], "_order", "source_file")
+    newest = materialise(latest_observation(
+        batch.withColumn("_order", order), ["article_id"], "_order", "source_file"), "batch")
     cleaned = clean_articles(newest, companies, rules)
     cleaned.write.mode("overwrite").parquet(f"{root}/changes/batch_id={batch_id}")
 

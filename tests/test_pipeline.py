@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from obslake.operators.quality import duplicate_keys
+from obslake.operators.search import find_similar_articles, hybrid_search_articles
 from obslake.operators.series import lineage
 from obslake.plans.export import ai_articles_enriched
 from obslake.plans.job import run_job, run_pipeline
@@ -17,7 +18,7 @@ from obslake.schemas import (
     AI_EXPORT_COLUMNS, BRONZE_COMPANIES, DIM_ARTICLE, DIM_COMPANY, FACT_ARR_OBSERVATION,
     PARSE_ERRORS, SILVER_ARTICLES, UNMATCHED_COMPANIES,
 )
-from obslake.sources.tables import read_table, register_views
+from obslake.sources.tables import read_embeddings, read_table, register_views
 from tests.companies import COMPANIES
 from tests.news import COLUMNS, UNMATCHED, truth, write_articles, write_companies
 
@@ -206,6 +207,15 @@ def test_job_writes_every_table(spark, files, tmp_path):
     assert articles.where(F.size("embedding") == 384).count() == 750
     assert articles.where("published_year = 2021").inputFiles()
     assert glob.glob(f"{out}/dim_article/published_year=2021")
+    title = truth()[40]["cells"]["title"]
+    vectors = read_embeddings(spark, out)
+    assert vectors.count() == 750
+    assert find_similar_articles(vectors, "about nobody part 300", 3).count() == 3
+    recent = hybrid_search_articles(articles, title, 4, published_year_from=2021)
+    assert recent.where("published_year < 2021").count() == 0 and recent.count() == 4
+    plan = recent._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(published_year" in plan and "(published_year" in plan
+    assert "summary" not in plan.split("ReadSchema")[1]  # unused columns are not read
     register_views(spark, out)
     top = spark.sql("""
         SELECT observation_date, arr_usd FROM fact_arr_observation

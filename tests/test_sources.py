@@ -133,13 +133,13 @@ def test_bucketed_catalog_tables_join_without_a_shuffle(spark):
     save_table(facts.select("article_id"), "silver_articles", bucket_by="article_id", buckets=4)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        joined = spark.table("fact_arr_observation").join(spark.table("silver_articles"), "article_id")
+        joined = spark.table("default.fact_arr_observation").join(spark.table("default.silver_articles"), "article_id")
         assert joined.count() == 50
         assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.sql("DROP TABLE fact_arr_observation")
-        spark.sql("DROP TABLE silver_articles")
+        spark.sql("DROP TABLE default.fact_arr_observation")
+        spark.sql("DROP TABLE default.silver_articles")
 
 
 def test_csv_sink_writes_arrays_as_json(spark, tmp_path):
