@@ -10,17 +10,25 @@ piece text), which is an equi-join key; nothing is compared all against all and
 
 from __future__ import annotations
 
+from functools import reduce
 from math import ceil
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+from obslake.operators.lookup import BROADCAST_LIMIT, lookup_join, measured_bytes
+from obslake.session import materialise
+
 SPACES = r"(?U)[\s\x1c-\x1f]+"
 # below this ratio a text may be shorter than the number of pieces it has to be cut into
 LOWEST_THRESHOLD = 67.0
 NAMES_PER_TASK = 50_000
+SALTS = 16
+# below this many pairs one pass is cheaper than several
+FEW_PAIRS = 1_000_000
+FIRST_THRESHOLDS = (97.0, 93.0)
 
 
 def sorted_tokens(name: Column) -> Column:
@@ -77,25 +85,44 @@ def _piece_length(length: Column, pieces: Column, i: Column) -> Column:
     return F.floor(length / pieces).cast("int") + (i >= pieces - length % pieces).cast("int")
 
 
-def _canonical_pieces(canonicals: DataFrame, threshold: float) -> DataFrame:
+def _pieces(allowed: Column, length: Column, many: bool) -> Column:
+    """Into how many pieces a text is cut: at least one more than there may be edits."""
+    fewest = allowed + 1
+    return F.greatest(fewest, F.floor(length / 3).cast("int")) if many else fewest
+
+
+KEYS = ["lb", "allowed", "piece", "piece_text"]
+
+
+def _canonical_pieces(canonicals: DataFrame, threshold: float, many: bool) -> DataFrame:
     lb = F.length("b")
     fewest = _allowed(_shortest(lb, threshold), lb, threshold)
     most = _allowed(_longest(lb, threshold), lb, threshold)
-    return (
+    pieces = _pieces(F.col("allowed"), F.col("lb"), many)
+    cut = (
         canonicals.select("canonical", sorted_tokens(F.col("canonical")).alias("b"))
         .withColumn("lb", lb)
-        .withColumn("pieces", F.explode(F.sequence(fewest + 1, most + 1)))
-        .withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
+        .withColumn("allowed", F.explode(F.sequence(fewest, most)))
+        .withColumn("piece", F.explode(F.sequence(F.lit(0), pieces - 1)))
         .withColumn("piece_text", F.substring(
-            "b",
-            _piece_start(F.col("lb"), F.col("pieces"), F.col("piece")) + 1,
-            _piece_length(F.col("lb"), F.col("pieces"), F.col("piece"))))
+            "b", _piece_start(F.col("lb"), pieces, F.col("piece")) + 1,
+            _piece_length(F.col("lb"), pieces, F.col("piece"))))
     )
-
-
-def _name_pieces(names: DataFrame, threshold: float) -> DataFrame:
-    la, lb, pieces, piece = (F.col(c) for c in ("la", "lb", "pieces", "piece"))
-    allowed = pieces - 1
+    if not many:
+        return cut
+    # any allowed + 1 of the pieces will do, so take those that the fewest canonical names share
+    cut = materialise(cut, "canonical-pieces")
+    shared = materialise(cut.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("shared_by")), "piece-counts")
+    rarest = Window.partitionBy("canonical", "allowed").orderBy("shared_by", "piece")
+    return materialise(
+        lookup_join(cut, shared, KEYS).withColumn("_rank", F.row_number().over(rarest))
+        .where(F.col("_rank") <= F.col("allowed") + 1).drop("_rank", "shared_by"),
+        "rare-pieces")
+
+
+def _name_pieces(names: DataFrame, threshold: float, many: bool) -> DataFrame:
+    la, lb, allowed, piece = (F.col(c) for c in ("la", "lb", "allowed", "piece"))
+    pieces = _pieces(allowed, lb, many)
     start, size = _piece_start(lb, pieces, piece), _piece_length(lb, pieces, piece)
     deleted = F.floor((allowed - (la - lb)) / 2).cast("int")
     inserted = F.floor((allowed + (la - lb)) / 2).cast("int")
@@ -106,34 +133,86 @@ def _name_pieces(names: DataFrame, threshold: float) -> DataFrame:
         .withColumn("la", F.length("a"))
         .withColumn("lb", F.explode(F.sequence(_shortest(la, threshold), F.greatest(
             _shortest(la, threshold), _longest(la, threshold)))))
-        .withColumn("pieces", _allowed(la, lb, threshold) + 1)
+        .withColumn("allowed", _allowed(la, lb, threshold))
         .withColumn("piece", F.explode(F.sequence(F.lit(0), pieces - 1)))
         .withColumn("from", F.explode(F.when(first <= last, F.sequence(first, last))))
-        .select("name", "a", "lb", "pieces", "piece",
+        .select("name", "a", "lb", "allowed", "piece",
                 F.substring("a", F.col("from") + 1, size).alias("piece_text"))
     )
 
 
-def best_fuzzy_match(names: DataFrame, canonicals: DataFrame, threshold: float) -> DataFrame:
-    """(name, canonical, score) of the best canonical name at or above the threshold.
+def _candidates(
+    names: DataFrame, canonicals: DataFrame, threshold: float, many: bool
+) -> DataFrame:
+    """(name, canonical, a, b) that share a piece and are near enough by Levenshtein distance.
 
-    Equal scores go to the canonical name that sorts first. The Levenshtein distance, which never
-    exceeds the indel distance, rejects most candidates inside the join before they are scored.
+    Canonical pieces that are measured to fit are broadcast, and the names stay where they are.
+    Beyond that both sides are shuffled; names are distinct, so a salt taken from the name spreads
+    a piece that many of them share evenly over the tasks.
     """
-    if threshold < LOWEST_THRESHOLD:
-        raise ValueError(f"the threshold must be at least {LOWEST_THRESHOLD}")
     # a name turns into hundreds of keys, so tasks are sized by names and not by their few bytes
     tasks = max(names.sparkSession.sparkContext.defaultParallelism,
                 ceil(names.count() / NAMES_PER_TASK))
-    left = _name_pieces(names.repartition(tasks, "name"), threshold).alias("l")
-    right = _canonical_pieces(canonicals, threshold).alias("r")
-    same = [F.col(f"l.{c}") == F.col(f"r.{c}") for c in ("lb", "pieces", "piece", "piece_text")]
-    near = F.expr("levenshtein(l.a, r.b, l.pieces - 1) >= 0")
-    scored = (
-        left.join(right, [*same, near])
-        .select("l.name", "r.canonical", indel_ratio_udf("l.a", "r.b").alias("score"))
-        .where(F.col("score") >= threshold)
-    )
+    left = _name_pieces(names.repartition(tasks, "name"), threshold, many)
+    right = _canonical_pieces(canonicals, threshold, many)
+    keys = list(KEYS)
+    if measured_bytes(right) <= BROADCAST_LIMIT:
+        right = F.broadcast(right)
+    else:
+        left = left.withColumn("salt", F.pmod(F.xxhash64("name"), F.lit(SALTS)).cast("int"))
+        right = right.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        keys.append("salt")
+    same = [F.col(f"l.{c}") == F.col(f"r.{c}") for c in keys]
+    near = F.expr("levenshtein(l.a, r.b, l.allowed) >= 0")
+    pairs = left.alias("l").join(right.alias("r"), [*same, near])
+    return pairs.select("l.name", "r.canonical", "l.a", "r.b").distinct()
+
+
+def _best_at(names: DataFrame, canonicals: DataFrame, threshold: float, many: bool) -> DataFrame:
+    """Best match at or above one threshold.
+
+    Python scores only the pairs that can still be the best: the indel distance lies between the
+    Levenshtein distance and twice that, less the difference in length, and it is odd or even like
+    the sum of the lengths.
+    """
+    total, gap = F.length("a") + F.length("b"), F.abs(F.length("a") - F.length("b"))
+    edits = F.levenshtein("a", "b")
+    fewest = F.greatest(edits, gap)
+
+    def score(distance: Column) -> Column:
+        return (1.0 - distance / total) * 100.0
+
+    bounded = _candidates(names, canonicals, threshold, many).withColumns({
+        "most_score": score(fewest + (total - fewest) % 2),
+        "least_score": score(2 * edits - gap),
+    })
+    of_name = Window.partitionBy("name")
+    open_pairs = bounded.withColumn("sure", F.max("least_score").over(of_name)).where(
+        F.col("most_score") >= F.greatest("sure", F.lit(threshold)))
+    scored = open_pairs.select("name", "canonical", indel_ratio_udf("a", "b").alias("score"))
     best = F.min(F.struct((-F.col("score")).alias("minus"), F.col("canonical")))
+    # the threshold is applied after the aggregation: a filter below it would score every pair twice
     return scored.groupBy("name").agg(best.alias("best")).select(
-        "name", "best.canonical", (-F.col("best.minus")).alias("score"))
+        "name", "best.canonical", (-F.col("best.minus")).alias("score")).where(
+        F.col("score") >= threshold)
+
+
+def best_fuzzy_match(names: DataFrame, canonicals: DataFrame, threshold: float) -> DataFrame:
+    """(name, canonical, score) of the best canonical name at or above the threshold.
+
+    Equal scores go to the canonical name that sorts first. With many names the search starts at
+    high thresholds, which allow few edits and so have few, selective pieces: a name that finds a
+    match there has found its best one, and only the others go on to the next threshold.
+    """
+    if threshold < LOWEST_THRESHOLD:
+        raise ValueError(f"the threshold must be at least {LOWEST_THRESHOLD}")
+    if names.count() * canonicals.count() <= FEW_PAIRS:
+        return _best_at(names, canonicals, threshold, many=False)
+    found = []
+    for step in [t for t in FIRST_THRESHOLDS if t > threshold] + [threshold]:
+        best = materialise(_best_at(names, canonicals, step, many=True), "fuzzy-matches")
+        found.append(best)
+        names = lookup_join(names, best.select("name"), "name", "left_anti")
+        if names.isEmpty():
+            break
+    return reduce(DataFrame.unionByName, found)

@@ -4,6 +4,7 @@ import random
 
 import pytest
 
+from obslake.operators import fuzzy
 from obslake.operators.fuzzy import best_fuzzy_match, indel_ratio
 from obslake.operators.resolve import resolve_names, with_company
 from tests.companies import COMPANY_NAMES
@@ -79,8 +80,14 @@ def test_ratio_anchors():
     assert indel_ratio("abc", "xyz") == 0.0
 
 
-@pytest.mark.parametrize("threshold", [88.0, 75.0])
-def test_fuzzy_join_equals_brute_force(spark, threshold):
+@pytest.mark.parametrize("threshold,settings", [
+    (88.0, {}), (75.0, {}),
+    (88.0, {"BROADCAST_LIMIT": 0}),  # as if the canonical names were too many to broadcast
+    (88.0, {"FEW_PAIRS": 0}), (75.0, {"FEW_PAIRS": 0}),  # as if there were many pairs
+])
+def test_fuzzy_join_equals_brute_force(spark, monkeypatch, threshold, settings):
+    for name, value in settings.items():
+        monkeypatch.setattr(fuzzy, name, value)
     rng = random.Random(7)
     canon = sorted({"".join(rng.choice("abc d") for _ in range(rng.randint(1, 30))).strip()
                     for _ in range(150)} - {""})
@@ -112,3 +119,22 @@ def test_fuzzy_join_equals_brute_force(spark, threshold):
         spark.createDataFrame([(c,) for c in canon], "canonical string"), threshold)
     assert {r["name"]: (r["canonical"], r["score"]) for r in got.collect()} == expected
     assert len(expected) > 100
+
+
+def test_names_that_all_look_alike(spark):
+    """Every name shares most of its pieces with every other: one best match each, all found."""
+    canon = [f"Customer#{i:09d}" for i in range(400)]
+    names = [c.replace("#", "") for c in canon]
+    got = best_fuzzy_match(
+        spark.createDataFrame([(n,) for n in names], "name string"),
+        spark.createDataFrame([(c,) for c in canon], "canonical string"), 88.0)
+    assert {r["name"]: r["canonical"] for r in got.collect()} == dict(zip(names, canon))
+
+
+def test_broadcast_fuzzy_join_moves_only_the_names(spark):
+    names = spark.createDataFrame([("Teslaa",)], "name string")
+    canonicals = spark.createDataFrame([("Tesla",)], "canonical string")
+    plan = best_fuzzy_match(names, canonicals, 88.0)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") <= 2  # the names, and one best row per name
+    assert plan.count("indel_ratio_udf") == 1
+    assert "Cartesian" not in plan and "NestedLoop" not in plan
