@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from obslake.functions.text import strip
+from obslake.functions.vectors import SMALLEST_NORM
 
 DIMENSION = 384
 Encoder = Callable[[list[str]], np.ndarray]
@@ -24,6 +25,12 @@ def article_text(title: Column, summary: Column) -> Column:
     return strip(F.concat(F.coalesce(title, blank), F.lit(" "), F.coalesce(summary, blank)))
 
 
+def unit_rows(vectors) -> np.ndarray:
+    """Scale every row to length one; a zero row stays zero."""
+    matrix = np.asarray(vectors, dtype=np.float64)
+    return matrix / np.linalg.norm(matrix, axis=1, keepdims=True).clip(min=SMALLEST_NORM)
+
+
 class LexicalEncoder:
     """Hashed word counts scaled to length one.
 
@@ -52,7 +59,7 @@ class LexicalEncoder:
         for i, text in enumerate(texts):
             buckets = [self._bucket(word) for word in self.words.findall(text.lower())]
             counts[i] = np.bincount(buckets, minlength=self.dimension)
-        return counts / np.linalg.norm(counts, axis=1, keepdims=True).clip(min=1e-12)
+        return unit_rows(counts)
 
 
 def encode_text(
@@ -67,10 +74,9 @@ def encode_text(
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_factory()
         for batch in batches:
-            vectors = np.asarray(encoder(batch.column(1).to_pylist()), dtype=np.float32)
-            norms = np.linalg.norm(vectors, axis=1, keepdims=True).clip(min=1e-12)
-            flat = pa.array((vectors / norms).ravel())
-            offsets = np.arange(0, flat.__len__() + 1, vectors.shape[1], dtype=np.int32)
+            vectors = unit_rows(encoder(batch.column(1).to_pylist())).astype(np.float32)
+            flat = pa.array(vectors.ravel())
+            offsets = np.arange(0, len(flat) + 1, vectors.shape[1], dtype=np.int32)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.ListArray.from_arrays(pa.array(offsets), flat)],
                 names=[id_column, "embedding"])

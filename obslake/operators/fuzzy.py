@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from obslake.operators.lookup import BROADCAST_LIMIT, lookup_join, measured_bytes
+from obslake.operators.lookup import BROADCAST_LIMIT, measured_bytes
 from obslake.session import materialise
 
 SPACES = r"(?U)[\s\x1c-\x1f]+"
@@ -28,7 +28,7 @@ NAMES_PER_TASK = 50_000
 SALTS = 16
 # below this many pairs one pass is cheaper than several
 FEW_PAIRS = 1_000_000
-FIRST_THRESHOLDS = (97.0, 93.0)
+FIRST_THRESHOLDS = (94.0,)
 
 
 def sorted_tokens(name: Column) -> Column:
@@ -111,11 +111,10 @@ def _canonical_pieces(canonicals: DataFrame, threshold: float, many: bool) -> Da
     if not many:
         return cut
     # any allowed + 1 of the pieces will do, so take those that the fewest canonical names share
-    cut = materialise(cut, "canonical-pieces")
-    shared = materialise(cut.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("shared_by")), "piece-counts")
+    shared = cut.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("shared_by"))
     rarest = Window.partitionBy("canonical", "allowed").orderBy("shared_by", "piece")
     return materialise(
-        lookup_join(cut, shared, KEYS).withColumn("_rank", F.row_number().over(rarest))
+        cut.join(shared, KEYS).withColumn("_rank", F.row_number().over(rarest))
         .where(F.col("_rank") <= F.col("allowed") + 1).drop("_rank", "shared_by"),
         "rare-pieces")
 
@@ -142,7 +141,7 @@ def _name_pieces(names: DataFrame, threshold: float, many: bool) -> DataFrame:
 
 
 def _candidates(
-    names: DataFrame, canonicals: DataFrame, threshold: float, many: bool
+    names: DataFrame, count: int, canonicals: DataFrame, threshold: float, many: bool
 ) -> DataFrame:
     """(name, canonical, a, b) that share a piece and are near enough by Levenshtein distance.
 
@@ -151,8 +150,7 @@ def _candidates(
     a piece that many of them share evenly over the tasks.
     """
     # a name turns into hundreds of keys, so tasks are sized by names and not by their few bytes
-    tasks = max(names.sparkSession.sparkContext.defaultParallelism,
-                ceil(names.count() / NAMES_PER_TASK))
+    tasks = max(names.sparkSession.sparkContext.defaultParallelism, ceil(count / NAMES_PER_TASK))
     left = _name_pieces(names.repartition(tasks, "name"), threshold, many)
     right = _canonical_pieces(canonicals, threshold, many)
     keys = list(KEYS)
@@ -168,7 +166,9 @@ def _candidates(
     return pairs.select("l.name", "r.canonical", "l.a", "r.b").distinct()
 
 
-def _best_at(names: DataFrame, canonicals: DataFrame, threshold: float, many: bool) -> DataFrame:
+def _best_at(
+    names: DataFrame, count: int, canonicals: DataFrame, threshold: float, many: bool
+) -> DataFrame:
     """Best match at or above one threshold.
 
     Python scores only the pairs that can still be the best: the indel distance lies between the
@@ -182,7 +182,7 @@ def _best_at(names: DataFrame, canonicals: DataFrame, threshold: float, many: bo
     def score(distance: Column) -> Column:
         return (1.0 - distance / total) * 100.0
 
-    bounded = _candidates(names, canonicals, threshold, many).withColumns({
+    bounded = _candidates(names, count, canonicals, threshold, many).withColumns({
         "most_score": score(fewest + (total - fewest) % 2),
         "least_score": score(2 * edits - gap),
     })
@@ -206,13 +206,17 @@ def best_fuzzy_match(names: DataFrame, canonicals: DataFrame, threshold: float)
     """
     if threshold < LOWEST_THRESHOLD:
         raise ValueError(f"the threshold must be at least {LOWEST_THRESHOLD}")
-    if names.count() * canonicals.count() <= FEW_PAIRS:
-        return _best_at(names, canonicals, threshold, many=False)
+    count = names.count()
+    if count == 0:
+        return names.select("name", F.lit("").alias("canonical"), F.lit(0.0).alias("score"))
+    if count * canonicals.count() <= FEW_PAIRS:
+        return _best_at(names, count, canonicals, threshold, many=False)
     found = []
     for step in [t for t in FIRST_THRESHOLDS if t > threshold] + [threshold]:
-        best = materialise(_best_at(names, canonicals, step, many=True), "fuzzy-matches")
+        best = materialise(_best_at(names, count, canonicals, step, many=True), "fuzzy-matches")
         found.append(best)
-        names = lookup_join(names, best.select("name"), "name", "left_anti")
-        if names.isEmpty():
+        names = names.join(best.select("name"), "name", "left_anti")
+        count = names.count()
+        if count == 0:
             break
     return reduce(DataFrame.unionByName, found)

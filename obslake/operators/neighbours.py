@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from obslake.functions.vectors import SMALLEST_NORM
+from obslake.operators.encode import unit_rows
 from obslake.operators.lookup import lookup_join
 from obslake.session import materialise
 
@@ -35,8 +35,7 @@ DECIMALS = 12
 
 def _unit_rows(vectors: pa.ChunkedArray) -> np.ndarray:
     flat = vectors.combine_chunks().flatten().to_numpy(zero_copy_only=False)
-    matrix = flat.astype(np.float64).reshape(len(vectors), -1)
-    return matrix / np.linalg.norm(matrix, axis=1, keepdims=True).clip(min=SMALLEST_NORM)
+    return unit_rows(flat.reshape(len(vectors), -1))
 
 
 def _best(rows: np.ndarray, others: np.ndarray, k: int, same_block: bool, ids: np.ndarray):
@@ -160,8 +159,11 @@ def approximate_neighbours(
     return _ranked(pairs, k)
 
 
-def as_lists(neighbours: DataFrame, id_column: str = "article_id") -> DataFrame:
-    """(id, top_similar_articles): the neighbour ids of each row, best first."""
+def as_lists(neighbours: DataFrame, ids: DataFrame, id_column: str = "article_id") -> DataFrame:
+    """(id, top_similar_articles): the neighbour ids of every row, best first, perhaps none."""
     ranked = F.array_sort(F.collect_list(F.struct("rank", "neighbour")))
-    return neighbours.groupBy(F.col("id").alias(id_column)).agg(
+    lists = neighbours.groupBy(F.col("id").alias(id_column)).agg(
         F.transform(ranked, lambda r: r["neighbour"]).alias("top_similar_articles"))
+    nothing = F.array().cast(lists.schema["top_similar_articles"].dataType)
+    return ids.select(id_column).join(lists, id_column, "left").withColumn(
+        "top_similar_articles", F.coalesce("top_similar_articles", nothing))

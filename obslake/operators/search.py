@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from obslake.functions.vectors import dot, literal, norm
-from obslake.operators.encode import LexicalEncoder
+from obslake.operators.encode import Encoder, LexicalEncoder, unit_rows
 
 
 def find_similar(
@@ -67,14 +67,14 @@ def hybrid_search(
     return ranked_by_cosine(rows, query, top_k, "article_id", "embedding")
 
 
-def encode_query(text: str, encoder_factory: Callable) -> list[float]:
-    """Vector of one query text."""
-    return [float(x) for x in encoder_factory()([text])[0]]
+def encode_query(text: str, encoder_factory: Callable[[], Encoder] = LexicalEncoder) -> list[float]:
+    """Vector of one query text, of length one like the stored vectors."""
+    return [float(x) for x in unit_rows(encoder_factory()([text]))[0]]
 
 
 def find_similar_articles(
     vectors: DataFrame, query_text: str, top_k: int = 5,
-    encoder_factory: Callable = LexicalEncoder,
+    encoder_factory: Callable[[], Encoder] = LexicalEncoder,
 ) -> DataFrame:
     """Semantic search by free text; the encoder must be the one that made the vectors."""
     return find_similar(vectors, encode_query(query_text, encoder_factory), top_k)
@@ -82,7 +82,7 @@ def find_similar_articles(
 
 def hybrid_search_articles(
     articles: DataFrame, query_text: str, top_k: int = 5,
-    encoder_factory: Callable = LexicalEncoder, **conditions,
+    encoder_factory: Callable[[], Encoder] = LexicalEncoder, **conditions,
 ) -> DataFrame:
     """Hybrid search by free text over articles with embeddings."""
     return hybrid_search(articles, encode_query(query_text, encoder_factory), top_k, **conditions)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obslake.operators.encode import LexicalEncoder, article_text, encode_text
-from obslake.operators.neighbours import as_lists, top_neighbours
+from obslake.operators.neighbours import approximate_neighbours, as_lists, top_neighbours
 from obslake.operators.quality import table_counts
 from obslake.plans.export import ai_articles_enriched, attach
 from obslake.plans.gold import dim_article, dim_company, fact_arr_observation
@@ -77,7 +77,7 @@ def run_job(
     spark: SparkSession, articles_path: str, companies_path: str, out: str,
     with_embeddings: bool = True, with_tables: bool = True,
     encoder_factory: Callable = LexicalEncoder, rules: Rules = DEFAULT_RULES,
-    multi_line: bool = True,
+    multi_line: bool = True, exact_neighbours: bool = True,
 ) -> DataFrame:
     """Write every table under ``out``; returns (table_name, row_count)."""
     tables = run_pipeline(spark, articles_path, companies_path, rules, multi_line)
@@ -86,7 +86,8 @@ def run_job(
         text = article_text(F.col("title"), F.col("summary"))
         write_embeddings(encode_text(tables.silver_articles, text, encoder_factory), out)
         embeddings = read_embeddings(spark, out)
-        neighbours = materialise(as_lists(top_neighbours(embeddings)), "neighbours")
+        search = top_neighbours if exact_neighbours else approximate_neighbours
+        neighbours = materialise(as_lists(search(embeddings), embeddings), "neighbours")
     export = ai_articles_enriched(tables.dim_article, embeddings, neighbours, rules)
     for name, table in {**tables.by_name(), "ai_articles_enriched": export}.items():
         write_csv(table, f"{out}/csv", name)
@@ -109,12 +110,14 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--no-tables", action="store_true")
     parser.add_argument("--single-line", action="store_true",
                         help="no cell holds a line break, so large files can be split")
+    parser.add_argument("--approximate-neighbours", action="store_true",
+                        help="search within random-projection buckets, not among all articles")
     options = parser.parse_args(arguments)
     spark = build_session()
     counts = run_job(
         spark, options.articles, options.companies, options.out,
         with_embeddings=not options.no_embeddings, with_tables=not options.no_tables,
-        multi_line=not options.single_line)
+        multi_line=not options.single_line, exact_neighbours=not options.approximate_neighbours)
     counts.orderBy("table_name").show(truncate=False)
 
 

@@ -15,6 +15,8 @@ from obslake.session import materialise
 # a file above this size cannot be read into one value, so its hash stays NULL
 LARGEST_HASHED_FILE = 2**31 - 1
 
+BYTE_ORDER_MARK = "\ufeff"
+
 COMPANY_FIELDS = T.StructType([
     T.StructField(name, T.StringType())
     for name in ("founded_year", "headquarters", "employee_count", "industry", "is_public",
@@ -39,7 +41,8 @@ def scan_articles(spark: SparkSession, path: str, multi_line: bool = True) -> Da
     reader = spark.read.options(**csv_options(multi_line))
     raw = reader.csv(path).select("*", F.col("_metadata.file_path").alias("source_file"))
     cells = [
-        fold_null_tokens(F.col(f"`{c}`")).alias(c.strip()) for c in raw.columns if c != "source_file"
+        fold_null_tokens(F.col(f"`{c}`")).alias(c.lstrip(BYTE_ORDER_MARK).strip())
+        for c in raw.columns if c != "source_file"
     ]
     return raw.select(*cells, "source_file")
 

@@ -12,7 +12,7 @@ from obslake.operators.quality import duplicate_keys
 from obslake.operators.search import find_similar_articles, hybrid_search_articles
 from obslake.operators.series import lineage
 from obslake.plans.export import ai_articles_enriched
-from obslake.plans.job import run_job, run_pipeline
+from obslake.plans.job import main, run_job, run_pipeline
 from obslake.rules import CATEGORY_GROUPS
 from obslake.schemas import (
     AI_EXPORT_COLUMNS, BRONZE_COMPANIES, DIM_ARTICLE, DIM_COMPANY, FACT_ARR_OBSERVATION,
@@ -236,6 +236,7 @@ def test_job_writes_every_table(spark, files, tmp_path):
 
 def test_job_without_vectors_and_tables(spark, files, tmp_path):
     out = str(tmp_path)
-    run_job(spark, *files, out, with_embeddings=False, with_tables=False)
+    main(["--articles", files[0], "--companies", files[1], "--out", out, "--no-embeddings",
+          "--no-tables"])
     assert {p.split("/")[-1] for p in glob.glob(f"{out}/*")} == {"csv"}
     assert len(glob.glob(f"{out}/csv/*")) == 9

@@ -35,6 +35,14 @@ def test_csv_cells(spark, tmp_path):
     assert len(got) == 4
 
 
+def test_byte_order_mark_is_no_part_of_the_name(spark, tmp_path):
+    path = tmp_path / "a.csv"
+    path.write_text("article_id,title\n1,x\n", encoding="utf-8-sig")
+    for multi_line in (True, False):
+        rows = scan_articles(spark, str(path), multi_line).select("article_id", "title").collect()
+        assert [tuple(r) for r in rows] == [("1", "x")]
+
+
 def test_every_null_token_is_folded(spark, tmp_path):
     path = tmp_path / "a.csv"
     path.write_text("article_id,title\n" + "".join(f"{i},{t}\n" for i, t in enumerate(NULL_TOKENS)))

@@ -82,8 +82,11 @@ def test_few_rows_have_few_neighbours(spark):
 
 def test_neighbour_lists(spark):
     m = unit(np.random.default_rng(5), 30, 8)
+    rows = frame(spark, m)
     lists = {r["article_id"]: r["top_similar_articles"]
-             for r in as_lists(top_neighbours(frame(spark, m))).collect()}
+             for r in as_lists(top_neighbours(rows), rows).collect()}
+    alone = frame(spark, m[:1])
+    assert [r["top_similar_articles"] for r in as_lists(top_neighbours(alone), alone).collect()] == [[]]
     expected = brute_force(m, 3)
     assert len(lists) == 30
     assert all((i, r + 1, n) in {e[:3] for e in expected}
