@@ -279,10 +279,11 @@ WITH w AS (
   SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}]+')) AS word FROM documents),
 b AS (
   SELECT doc_id, CAST('0x' || substr(md5(word), 1, 8) AS BIGINT) % 384 AS bucket, count(*) AS n
-  FROM w GROUP BY ALL)
+  FROM w GROUP BY ALL),
+m AS (SELECT *, max(n) OVER (PARTITION BY doc_id) AS most FROM b)
 SELECT doc_id, count(*) AS filled, arg_min(bucket, struct_pack(a := -n, b := bucket)) AS top_bucket,
-       round(max(n) / sqrt(sum(n * n)), 4) AS top_weight
-FROM b GROUP BY doc_id""",
+       count(*) FILTER (WHERE 2 * n >= most) AS heavy
+FROM m GROUP BY doc_id""",
     "csv_source": EXPECTED + """
 SELECT k AS o_orderkey, 'He said "Order ' || k || '",' || chr(10) || 'then left' AS title,
        CASE k % 10

@@ -397,7 +397,10 @@ def vector_hybrid(spark, sf_dir):
 
 @query
 def text_encoding(spark, sf_dir):
-    """Encode every document in full; reports the shape of each vector."""
+    """Encode every document in full; reports which buckets of each vector are filled and heavy.
+
+    Weights are single-precision, so the report holds counts and positions, not rounded weights.
+    """
     documents = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
     encoded = encode_text(documents, F.col("text"), id_column="doc_id")
     vector = F.col("embedding")
@@ -405,7 +408,8 @@ def text_encoding(spark, sf_dir):
         "doc_id",
         F.size(F.filter(vector, lambda x: x > 0)).cast("bigint").alias("filled"),
         (F.array_position(vector, F.array_max(vector)) - 1).alias("top_bucket"),
-        F.round(F.array_max(vector).cast("double"), 4).alias("top_weight"))
+        F.size(F.filter(vector, lambda x: x * F.lit(2.0) >= F.array_max(vector))).cast("bigint")
+        .alias("heavy"))
 
 
 # --- files and tables ---------------------------------------------------------------------------
