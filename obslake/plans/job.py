@@ -43,13 +43,14 @@ class Tables:
 
 
 def build_tables(
-    articles: DataFrame, companies: DataFrame, rules: Rules = DEFAULT_RULES
+    articles: DataFrame, companies: DataFrame, rules: Rules = DEFAULT_RULES,
+    root: str | None = None,
 ) -> Tables:
     """All tables from the two bronze frames.
 
     Cleaned articles feed five tables, so they are written once and read back.
     """
-    cleaned = materialise(clean_articles(articles, companies, rules), "cleaned-articles")
+    cleaned = materialise(clean_articles(articles, companies, rules), "cleaned_articles", root)
     silver, dimension = silver_articles(cleaned), dim_company(companies)
     return Tables(
         bronze_articles=articles,
@@ -65,12 +66,17 @@ def build_tables(
 
 def run_pipeline(
     spark: SparkSession, articles_path: str, companies_path: str, rules: Rules = DEFAULT_RULES,
-    multi_line: bool = True,
+    multi_line: bool = True, root: str | None = None,
 ) -> Tables:
-    """Bronze is kept as a columnar copy: later steps read single columns of it."""
-    articles = materialise(read_articles(spark, articles_path, multi_line), "bronze-articles")
-    companies = materialise(read_companies(spark, companies_path), "bronze-companies")
-    return build_tables(articles, companies, rules)
+    """Bronze is kept as a columnar copy, since later steps read single columns of it.
+
+    With ``root`` the bronze and cleaned layers are tables there, otherwise intermediate copies.
+    """
+    articles = read_articles(spark, articles_path, multi_line)
+    companies = read_companies(spark, companies_path)
+    return build_tables(
+        materialise(articles, "bronze_articles", root),
+        materialise(companies, "bronze_companies", root), rules, root)
 
 
 def run_job(
@@ -80,14 +86,15 @@ def run_job(
     multi_line: bool = True, exact_neighbours: bool = True,
 ) -> DataFrame:
     """Write every table under ``out``; returns (table_name, row_count)."""
-    tables = run_pipeline(spark, articles_path, companies_path, rules, multi_line)
+    layers = f"{out}/layers"
+    tables = run_pipeline(spark, articles_path, companies_path, rules, multi_line, layers)
     embeddings = neighbours = None
     if with_embeddings:
         text = article_text(F.col("title"), F.col("summary"))
         write_embeddings(encode_text(tables.silver_articles, text, encoder_factory), out)
         embeddings = read_embeddings(spark, out)
         search = top_neighbours if exact_neighbours else approximate_neighbours
-        neighbours = materialise(as_lists(search(embeddings), embeddings), "neighbours")
+        neighbours = materialise(as_lists(search(embeddings), embeddings), "top_similar_articles", layers)
     export = ai_articles_enriched(tables.dim_article, embeddings, neighbours, rules)
     for name, table in {**tables.by_name(), "ai_articles_enriched": export}.items():
         write_csv(table, f"{out}/csv", name)

@@ -53,11 +53,13 @@ def work_folder(spark: SparkSession, name: str) -> str:
     return f"{_work_dir(spark)}/obslake-{name}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write a result that is read more than once to the shared folder and read it back.
+def materialise(df: DataFrame, name: str, root: str | None = None) -> DataFrame:
+    """Write a result that is read more than once and read it back.
 
-    The copy survives the loss of executors, cuts the lineage and has known file sizes.
+    The copy survives the loss of executors, cuts the lineage and has known file sizes. It goes to
+    a new place in the shared folder, or, for a layer of a stored run, to its table under ``root``,
+    where it replaces the one of the last run.
     """
-    path = work_folder(df.sparkSession, name)
-    df.write.parquet(path)
+    path = f"{root.rstrip('/')}/{name}" if root else work_folder(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

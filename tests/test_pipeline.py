@@ -238,5 +238,7 @@ def test_job_without_vectors_and_tables(spark, files, tmp_path):
     out = str(tmp_path)
     main(["--articles", files[0], "--companies", files[1], "--out", out, "--no-embeddings",
           "--no-tables"])
-    assert {p.split("/")[-1] for p in glob.glob(f"{out}/*")} == {"csv"}
+    assert {p.split("/")[-1] for p in glob.glob(f"{out}/*")} == {"csv", "layers"}
+    layers = {p.split("/")[-1] for p in glob.glob(f"{out}/layers/*")}
+    assert layers == {"bronze_articles", "bronze_companies", "cleaned_articles"}
     assert len(glob.glob(f"{out}/csv/*")) == 9
