@@ -2,9 +2,12 @@
 
 import pytest
 
+from obslake.functions.dates import with_parsed_date
+from obslake.functions.money import with_parsed_revenue
 from obslake.plans.gold import fact_arr_observation
-from obslake.sources.files import read_articles, read_companies
 from obslake.plans.silver import clean_articles
+from obslake.schemas import RAW_ARTICLES
+from obslake.sources.files import csv_options, read_articles, read_companies
 from obslake.streaming.incremental import append_batch, compact, current_articles, start_ingest
 from tests.news import truth, write_articles, write_companies
 
@@ -84,3 +87,16 @@ def test_replayed_batch_overwrites_itself(spark, place):
 def test_empty_start(spark, place):
     assert current_articles(spark, str(place / "out")).count() == 0
     assert compact(spark, str(place / "out")) == -1
+
+
+def test_parsers_run_on_a_stream(spark, place):
+    cells = [r["cells"] for r in truth()[300:320]]
+    write_articles(place / "in" / "one.csv", cells)
+    stream = spark.readStream.schema(RAW_ARTICLES).options(**csv_options(True)).csv(str(place / "in"))
+    parsed = with_parsed_date(with_parsed_revenue(stream, "revenue", "m"), "published_date", "d")
+    query = (
+        parsed.select("article_id", "m.arr_usd", "d.date").where("arr_usd is not null")
+        .writeStream.format("memory").queryName("parsed_stream").trigger(availableNow=True).start())
+    query.awaitTermination()
+    got = {r["article_id"]: (r["arr_usd"], r["date"]) for r in spark.table("parsed_stream").collect()}
+    assert got == {r["cells"]["article_id"]: (r["amount"], r["day"]) for r in truth()[300:320]}
