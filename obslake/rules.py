@@ -95,6 +95,7 @@ class Rules:
     category_groups: Mapping[str, str] = field(default_factory=lambda: dict(CATEGORY_GROUPS))
     company_aliases: Mapping[str, str] = field(default_factory=lambda: dict(COMPANY_ALIASES))
     unresolvable_companies: tuple[str, ...] = UNRESOLVABLE_COMPANIES
+    # fixed values: thresholds
     fuzzy_threshold: float = 88.0
     small_below: int = 10_000
     medium_up_to: int = 30_000

@@ -9,6 +9,7 @@ from hypothesis import strategies as st
 from obslake.functions.dates import with_parsed_date
 from obslake.rules import DEFAULT_RULES
 
+# Written text -> expected result.
 VALID = {
     "2022-02-17": "2022-02-17",
     "2023-12-13": "2023-12-13",

@@ -5,6 +5,7 @@ from hypothesis import strategies as st
 
 from obslake.functions.money import with_parsed_revenue
 
+# Written text -> expected result.
 VALID = {
     "$5,200,000,000": 5_200_000_000,
     "$790,000,000": 790_000_000,

@@ -9,6 +9,7 @@ from obslake.operators.fuzzy import best_fuzzy_match, indel_ratio
 from obslake.operators.resolve import resolve_names, with_company
 from tests.companies import COMPANY_NAMES
 
+# Written text -> expected result.
 RESOLVED = {
     "AWS": ("Amazon Web Services", "alias"),
     "Amazon Web Services (AWS)": ("Amazon Web Services", "alias"),
