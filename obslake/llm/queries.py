@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from obslake.llm import cross_parsing, line_runs, nbest_pieces
+from obslake.llm.order_minhash import near_duplicates
 from obslake.llm.substrings import remove_repeated_windows
 
 
@@ -11,10 +14,41 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_nbest_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = nbest_pieces.encode(_table(spark, sf_dir, "documents").select("doc_id", "text"), digest=True)
+    return encoded.select(
+        "doc_id", F.col("_n_ids").alias("n_ids"), F.col("_ids_sha256").alias("ids_sha256"),
+        F.col("_scores").alias("scores"), F.col("_round_trip").alias("round_trip"))
+
+
+def op5_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_runs.delete_repeated_runs(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select(
+        "doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_removed").alias("n_removed"),
+        F.sha2("text", 256).alias("kept_sha256"))
+
+
+def op7_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+def op8_cross_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    predicted = cross_parsing.identify(documents)
+    held_out = F.coalesce(cross_parsing.fold(F.col("doc_id")) == cross_parsing.HELD_OUT, F.lit(False))
+    return predicted.select(
+        "doc_id", held_out.alias("held_out"), F.col("_lang_pred").alias("lang_pred"),
+        F.col("_score").alias("score"))
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeated_windows(_table(spark, sf_dir, "documents"), keep_text=False)
 
 
 QUERIES = {
+    "op3_nbest_pieces": op3_nbest_pieces,
+    "op5_line_runs": op5_line_runs,
+    "op7_order_minhash": op7_order_minhash,
+    "op8_cross_parsing": op8_cross_parsing,
     "op10_substring_dedup": op10_substring_dedup,
 }
