@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from obslake.session import materialise
@@ -12,7 +12,7 @@ BROADCAST_LIMIT = 32 << 20
 
 
 def checked_join(
-    left: DataFrame, right: DataFrame, on: str | list[str], how: str = "left",
+    left: DataFrame, right: DataFrame, on: str | list[str] | Column, how: str = "left",
     row_bytes: int = 64, limit: int = BROADCAST_LIMIT,
 ) -> DataFrame:
     """Join to a written table of rows of bounded width, broadcast only if its rows are counted to fit.
