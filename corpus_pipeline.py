@@ -36,14 +36,13 @@ def dedup_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     later = materialise(
         classes.where(F.col("class_id") < F.col("doc_id")).select(F.col("doc_id").alias("_id")).distinct(),
         "later-copies")
-    on = docs["doc_id"] == F.col("_id")
-    return checked_join(docs, later, on, "left_anti", row_bytes=32)
+    return checked_join(docs, later, docs["doc_id"] == later["_id"], "left_anti", row_bytes=32)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     leaks = find_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     found = materialise(leaks.select(F.col("doc_id").alias("_id")).distinct(), "leaked-documents")
-    return checked_join(docs, found, docs["doc_id"].eqNullSafe(F.col("_id")), "left_anti", row_bytes=32)
+    return checked_join(docs, found, docs["doc_id"].eqNullSafe(found["_id"]), "left_anti", row_bytes=32)
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

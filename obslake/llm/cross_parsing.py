@@ -20,8 +20,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from obslake.llm import textbatch as tb
+from obslake.llm.tables import Carried
 
 SAMPLE_DOCUMENTS = 200
 SAMPLE_CHARACTERS = 30_000
@@ -157,12 +159,15 @@ def fit(labelled: DataFrame) -> Model:
                   if any(len(h) > 1 for h in held)})
 
 
-def _predict(model, columns):
+RESULT = StructType().add("_lang_pred", "string").add("_score", "double")
+
+
+def _predict(model):
     def run(batches):
         own = model.value
         for batch in tb.pieces(batches, "text", tb.CHUNK):
             texts = [own.encode(symbols(t or "")) for t in tb.column_of(batch, "text").to_pylist()]
-            has_letters = tb.column_of(batch, "_letters").to_numpy(zero_copy_only=False).astype(bool)
+            has_letters = tb.column_of(batch, "letters").to_numpy(zero_copy_only=False).astype(bool)
             lang, score = [UNKNOWN] * len(texts), np.zeros(len(texts))
             if own.languages and len(texts):
                 counts = own.phrases(texts)
@@ -174,21 +179,18 @@ def _predict(model, columns):
                 score = np.where(known, np.clip(share, 0, 1), 0.0)
                 lang = [own.languages[b] if k else UNKNOWN for b, k in zip(best.tolist(), known.tolist())]
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in columns), pa.array(lang, pa.string()), pa.array(score, pa.float64())],
-                names=[*columns, "_lang_pred", "_score"])
+                [batch.column("row"), batch.column("text"), pa.array(lang, pa.string()), pa.array(score, pa.float64())],
+                names=["row", "text", *RESULT.fieldNames()])
     return run
 
 
-def predict(documents: DataFrame, model: Model, columns: list[str] | None = None) -> DataFrame:
-    """The given columns (all, by default) with _lang_pred and _score."""
-    columns = documents.columns if columns is None else columns
-    spark = documents.sparkSession
-    shared = spark.sparkContext.broadcast(model)
-    kept = [documents[f"`{c}`"] for c in dict.fromkeys([*columns, "text"])]
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in documents.select(*[f"`{c}`" for c in columns]).schema]
-    has_letters = F.coalesce(F.regexp_like("text", F.lit(r"\p{L}")), F.lit(False)).alias("_letters")
-    return documents.select(*kept, has_letters).mapInArrow(
-        _predict(shared, columns), ", ".join([*fields, "_lang_pred string", "_score double"]))
+def predict(documents: DataFrame, model: Model) -> DataFrame:
+    """Every column, _lang_pred and _score."""
+    shared = documents.sparkSession.sparkContext.broadcast(model)
+    carried = Carried(documents, RESULT)
+    has_letters = F.coalesce(F.regexp_like("text", F.lit(r"\p{L}")), F.lit(False)).alias("letters")
+    return carried.unpack(documents.select(carried.row, "text", has_letters).mapInArrow(
+        _predict(shared), carried.schema))
 
 
 def identify(documents: DataFrame) -> DataFrame:

@@ -27,8 +27,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from obslake.llm import textbatch as tb
+from obslake.llm.tables import Carried
 from obslake.session import materialise
 
 MIN_WORDS = 8
@@ -165,31 +167,33 @@ def later_copies(lines: DataFrame) -> DataFrame:
     return marks
 
 
-def _delete(names):
-    def run(batches):
-        for batch in batches:
-            texts, starts, depths = (batch.column(c) for c in ("text", "_starts", "_depths"))
-            out, total, gone = [], [], []
-            for i in range(batch.num_rows):
-                if not texts[i].is_valid:
-                    out.append(None), total.append(0), gone.append(0)
-                    continue
-                lines = texts[i].as_py().split("\n")
-                total.append(len(lines))
-                if starts[i].is_valid:
-                    edges = np.zeros(len(lines) + 1, dtype=np.int64)
-                    begin = starts[i].values.to_numpy()
-                    np.add.at(edges, begin, 1)
-                    np.add.at(edges, begin + depths[i].values.to_numpy(), -1)
-                    keep = np.cumsum(edges[:-1]) == 0
-                    lines = [line for line, stays in zip(lines, keep.tolist()) if stays]
-                out.append("\n".join(lines))
-                gone.append(total[-1] - len(lines))
-            columns = [batch.column(c) if c != "text" else pa.array(out, pa.string()) for c in names]
-            yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(total, pa.int64()), pa.array(gone, pa.int64())],
-                names=[*names, "_n_lines", "_n_removed"])
-    return run
+RESULT = StructType().add("_n_lines", "long").add("_n_removed", "long")
+
+
+def _delete(batches):
+    for batch in batches:
+        texts, starts, depths = (batch.column(c) for c in ("text", "starts", "depths"))
+        out, total, gone = [], [], []
+        for i in range(batch.num_rows):
+            if not texts[i].is_valid:
+                out.append(None)
+                total.append(0)
+                gone.append(0)
+                continue
+            lines = texts[i].as_py().split("\n")
+            total.append(len(lines))
+            if starts[i].is_valid:
+                edges = np.zeros(len(lines) + 1, dtype=np.int64)
+                begin = starts[i].values.to_numpy()
+                np.add.at(edges, begin, 1)
+                np.add.at(edges, begin + depths[i].values.to_numpy(), -1)
+                keep = np.cumsum(edges[:-1]) == 0
+                lines = [line for line, stays in zip(lines, keep.tolist()) if stays]
+            out.append("\n".join(lines))
+            gone.append(total[-1] - len(lines))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("row"), pa.array(out, pa.string()), pa.array(total, pa.int64()), pa.array(gone, pa.int64())],
+            names=["row", "text", *RESULT.fieldNames()])
 
 
 def delete_repeated_runs(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -197,11 +201,10 @@ def delete_repeated_runs(documents: DataFrame, min_words: int = MIN_WORDS) -> Da
     lines = materialise(line_ids(documents, min_words), "lines")
     marks = later_copies(lines).distinct()
     of_doc = marks.groupBy(*DOC).agg(
-        F.sort_array(F.collect_list(F.struct("line", "depth"))).alias("_marks"))
+        F.sort_array(F.collect_list(F.struct("line", "depth"))).alias("marks"))
     of_doc = materialise(of_doc.select(
-        *DOC, F.col("_marks.line").alias("_starts"), F.col("_marks.depth").alias("_depths")), "line-marks")
-    names = documents.columns
-    joined = documents.withColumns(dict(zip(DOC, _identity(documents)))).join(of_doc, DOC, "left")
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in documents.schema.fields]
-    return joined.select(*names, "_starts", "_depths").mapInArrow(
-        _delete(names), ", ".join([*fields, "_n_lines long", "_n_removed long"]))
+        *DOC, F.col("marks.line").alias("starts"), F.col("marks.depth").alias("depths")), "line-marks")
+    carried = Carried(documents, RESULT)
+    joined = documents.select(carried.row, "text", *_identity(documents)).join(of_doc, DOC, "left")
+    return carried.unpack(
+        joined.select("row", "text", "starts", "depths").mapInArrow(_delete, carried.schema))

@@ -30,8 +30,10 @@ import heapq
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql.types import StructType
 
 from obslake.llm import textbatch as tb
+from obslake.llm.tables import Carried
 
 NBEST = 4
 FALLBACK = 10.0
@@ -344,32 +346,37 @@ class Encoder:
         return out
 
 
-def _encode(path: str, nbest: int, columns: list[str], digest: bool):
+COUNTS = "_n_ids long, _scores array<double>, _round_trip boolean"
+DIGEST = f"_ids_sha256 string, {COUNTS}"
+RESULT = f"_ids array<int>, _changes array<array<struct<unit:int,ids:array<int>>>>, {COUNTS}"
+_CHANGES = pa.list_(pa.list_(pa.struct([("unit", pa.int32()), ("ids", pa.list_(pa.int32()))])))
+
+
+def _encode(path: str, nbest: int, digest: bool, names: list[str]):
     def run(batches):
         encoder = Encoder(path, nbest)
         for batch in tb.pieces(batches, "text"):
             texts = tb.column_of(batch, "text")
             ids, cut, best, others = encoder.encode(texts)
-            cut_list, valid = cut.tolist(), texts.is_valid().to_pylist()
-            raw = texts.to_pylist()
-            same = [None if t is None else t == encoder.pieces.decode(ids[cut_list[i]:cut_list[i + 1]].tolist())
-                    for i, t in enumerate(raw)]
-            losses = [[best[i] + loss for loss, _ in o] if valid[i] else None for i, o in enumerate(others)]
+            at, valid = cut.tolist(), texts.is_valid().to_pylist()
+            same, hashed = [], []
+            for i, text in enumerate(texts.to_pylist()):
+                own = ids[at[i]:at[i + 1]]
+                same.append(None if text is None else text == encoder.pieces.decode(own.tolist()))
+                if digest:
+                    hashed.append(None if text is None else hashlib.sha256(own.tobytes()).hexdigest())
+            scores = [[best[i] + loss for loss, _ in o] if valid[i] else None for i, o in enumerate(others)]
             if digest:
-                hashed = [hashlib.sha256(ids[cut_list[i]:cut_list[i + 1]].tobytes()).hexdigest() if v else None
-                          for i, v in enumerate(valid)]
                 held = [pa.array(hashed, pa.string())]
             else:
-                lists = pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(ids, pa.int32()), mask=pa.array([not v for v in valid]))
-                changes = [[sorted(change.items()) for _, change in o] if valid[i] else None for i, o in enumerate(others)]
-                held = [lists, pa.array(
-                    [None if c is None else [[{"unit": u, "ids": list(x)} for u, x in one] for one in c] for c in changes],
-                    pa.list_(pa.list_(pa.struct([("unit", pa.int32()), ("ids", pa.list_(pa.int32()))]))))]
+                changes = [[[{"unit": u, "ids": list(x)} for u, x in sorted(change.items())] for _, change in o]
+                           if valid[i] else None for i, o in enumerate(others)]
+                held = [pa.ListArray.from_arrays(
+                    pa.array(cut, pa.int32()), pa.array(ids, pa.int32()), mask=pa.array([not v for v in valid])),
+                    pa.array(changes, _CHANGES)]
             yield pa.RecordBatch.from_arrays([
-                *(batch.column(c) for c in columns), *held,
-                pa.array(np.diff(cut), pa.int64()), pa.array(losses, pa.list_(pa.float64())),
-                pa.array(same, pa.bool_()),
-            ], names=[*columns, *(["_ids_sha256"] if digest else ["_ids", "_changes"]), "_n_ids", "_scores", "_round_trip"])
+                batch.column("row"), batch.column("text"), *held, pa.array(np.diff(cut), pa.int64()),
+                pa.array(scores, pa.list_(pa.float64())), pa.array(same, pa.bool_())], names=names)
     return run
 
 
@@ -379,9 +386,6 @@ def encode(
     """Every column and, per text: _ids of the best segmentation and _changes, for each of the N best
     the units whose pieces differ from the best (``digest``: only _ids_sha256, of the ids as 32-bit
     little-endian numbers), _n_ids, _scores of the N best, and _round_trip (decoding gives the text)."""
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in documents.schema.fields]
-    made = (["_ids_sha256 string"] if digest else
-            ["_ids array<int>", "_changes array<array<struct<unit:int,ids:array<int>>>>"])
-    return documents.mapInArrow(
-        _encode(model_path or default_model(), nbest, documents.columns, digest),
-        ", ".join([*fields, *made, "_n_ids long", "_scores array<double>", "_round_trip boolean"]))
+    carried = Carried(documents, StructType.fromDDL(DIGEST if digest else RESULT))
+    run = _encode(model_path or default_model(), nbest, digest, carried.schema.fieldNames())
+    return carried.unpack(documents.select(carried.row, "text").mapInArrow(run, carried.schema))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from obslake.session import materialise
 
@@ -23,6 +24,27 @@ def checked_join(
     return left.join(F.broadcast(right) if right.count() * row_bytes <= limit else right, on, how)
 
 
+class Carried:
+    """The columns of a table beside its text, packed into one so that no name clashes with a step's.
+
+    Columns named like a result are replaced by it.
+    """
+
+    def __init__(self, table: DataFrame, made: StructType):
+        self.names = [c for c in table.columns if c not in made.fieldNames()]
+        others = [c for c in self.names if c != "text"]
+        # a struct has a field at least
+        self.row = F.struct(F.lit(0).alias(""), *[table[f"`{c}`"] for c in others]).alias("row")
+        kind = table.select(self.row).schema["row"]
+        self.made = made
+        self.packed = StructType([kind, StructField("text", table.schema["text"].dataType)])
+        self.schema = StructType([*self.packed.fields, *made.fields])
+
+    def unpack(self, table: DataFrame) -> DataFrame:
+        columns = [F.col("text") if c == "text" else F.col("row").getField(c).alias(c) for c in self.names]
+        return table.select(*columns, *self.made.fieldNames())
+
+
 def components(links: DataFrame) -> DataFrame:
     """Connected components of links (a, b): (node, root), for every node but the roots.
 

@@ -43,23 +43,24 @@ def tokens(text: Column) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(TOKEN), F.lit(0))
 
 
-def _kind(raw: Column, word: Column, i: Column) -> Column:
-    """Type of the slot that a token is, 0 for a literal."""
+def _slot_or(raw: Column, word: Column, i: Column, literal: Column, kind: str) -> Column:
+    """Type of the slot that a token is, or what a literal is to give."""
     number = word < F.lit(":")  # of all tokens only numbers begin below a letter
     after_number = (i > 0) & (F.get(raw, i - 1) < F.lit(":"))
     lower = F.lower(word)
-    return (F.when(number, NUM).when(after_number & lower.isin(*UNITS), UNIT)
-            .when(lower != word, NAME).otherwise(0))
+    slot = [F.lit(k).cast(kind) for k in (NUM, UNIT, NAME)]
+    return (F.when(number, slot[0]).when(after_number & lower.isin(*UNITS), slot[1])
+            .when(lower != word, slot[2]).otherwise(literal))
 
 
 def kinds(raw: Column) -> Column:
-    return F.transform(raw, lambda word, i: _kind(raw, word, i))
+    return F.transform(raw, lambda word, i: _slot_or(raw, word, i, F.lit(0), "int"))
 
 
 def template(raw: Column) -> Column:
     """One hash per token; a slot has its type instead."""
     def hashed(word, i):
-        return F.coalesce(F.nullif(_kind(raw, word, i), F.lit(0)).cast("long"), F.xxhash64(word))
+        return _slot_or(raw, word, i, F.xxhash64(word), "long")
     return F.transform(raw, hashed)
 
 
