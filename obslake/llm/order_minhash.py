@@ -10,10 +10,11 @@ banded alignment of their words finds an edit similarity (1 - edits / words of t
 or more. At a Jaccard similarity of 0.8 a band is shared with probability 0.41 and one of the 16
 bands with 0.9998.
 
-Equal texts are one node. In each bucket of a band all members are compared with the least one, so
-a group of thousands of near copies costs one comparison per member and band. Where a bucket then
-still holds several components, its members in different components are compared with each other,
-so that every candidate pair is either compared or already in one component.
+Equal texts are one node. In each bucket of a band all members are compared with one of them, which
+meets the most others, so a group of thousands of near copies costs one comparison per member and
+band. Texts of buckets that then still hold several components are compared across components, by
+an exact join on their rarest k-mers in place of all pairs of a bucket: it can add links, but loses
+none that a bucket holds.
 
 Null text: a class of its own. Texts without a word: equal ones are copies, nothing else. Texts of
 fewer than five words have one k-mer, all their words. Rows with equal doc_id are kept as rows.
@@ -25,7 +26,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from obslake.llm import textbatch as tb
@@ -205,26 +206,80 @@ def _verify(least: float):
     return run
 
 
-def _links(pairs: DataFrame, documents: DataFrame, texts: DataFrame, least: float, name: str) -> DataFrame:
-    """The pairs (a, b) of text keys that are similar, as a written table."""
-    pairs = materialise(pairs, f"{name}-pairs")
-    needed = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
-    needed = materialise(texts.select("key", "first").join(needed, "key", "left_semi"), f"{name}-keys")
+def _words_of(keys: DataFrame, documents: DataFrame, texts: DataFrame) -> DataFrame:
+    """(key, words): hashes of the words of the given texts, as a written table."""
+    needed = materialise(texts.select("key", "first").join(keys, "key", "left_semi"), "compared-keys")
     keyed = documents.select("doc_id", "text").withColumn("key", F.unhex(F.md5("text")))
     rows = checked_join(keyed, needed, "key", "inner").where(F.col("doc_id").eqNullSafe(F.col("first")))
-    held = materialise(
+    return materialise(
         rows.select("key", "text").mapInArrow(_word_hashes, "key binary, words binary")
-        .dropDuplicates(["key"]), f"{name}-words")
+        .dropDuplicates(["key"]), "compared-words")
+
+
+def _links(pairs: DataFrame, held: DataFrame, least: float) -> DataFrame:
+    """The pairs (a, b) of text keys that are similar, as a written table."""
     a = held.select(F.col("key").alias("a"), F.col("words").alias("words_a"))
     b = held.select(F.col("key").alias("b"), F.col("words").alias("words_b"))
     return materialise(
         pairs.join(a, "a").join(b, "b").select("a", "b", "words_a", "words_b")
-        .mapInArrow(_verify(least), "a binary, b binary"), f"{name}-links")
+        .mapInArrow(_verify(least), "a binary, b binary"), "links")
+
+
+def _kmer_rows(batches):
+    for batch in batches:
+        for i in range(batch.num_rows):
+            words = np.frombuffer(batch.column("words")[i].as_buffer(), np.uint32).astype(np.uint64)
+            kmers, _ = kmers_of(words, np.zeros(len(words), dtype=np.int64))
+            n = len(kmers)
+            if n:
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([batch.column("node")[i].as_py()] * n, pa.int64()), pa.array([n] * n, pa.int32()),
+                    pa.array(kmers.view(np.int64))], names=["node", "n", "kmer"])
+
+
+def _length_class(length):
+    return F.floor(F.log(length) / F.log(F.lit(1.05))).cast("int")
+
+
+def across_components(nodes: DataFrame, held: DataFrame, least: float) -> DataFrame:
+    """Pairs (a, b) of texts (key, root) with different roots that can have the similarity ``least``.
+
+    Exact: with the k-mers of all texts in one order, rarest first, two sets of that similarity have
+    their first common k-mer early in both, and so late at the latest that enough k-mers follow.
+    The longer text meets only lengths that this leaves, by classes of length in the join key, so
+    texts that share all but too many of their k-mers do not meet at all.
+    """
+    numbered = materialise(nodes.distinct().withColumn("node", F.monotonically_increasing_id()), "numbered")
+    rows = materialise(
+        numbered.join(held, "key").select("node", "words").mapInArrow(_kmer_rows, "node long, n int, kmer long"), "kmers")
+    shared = rows.groupBy("kmer").agg(F.count("*").alias("texts"))
+    rank = F.row_number().over(Window.partitionBy("node").orderBy("texts", "kmer"))
+    size, at, small = F.col("n"), F.col("at"), F.lit(1e-9)
+    ranked = rows.join(shared, "kmer").withColumn("at", rank).where(
+        (F.col("texts") > 1) & (at <= size - F.ceil(size * least - small) + 1))
+    ranked = materialise(ranked.join(numbered.select("node", "root"), "node").select(
+        "node", "root", "n", "at", "kmer"), "rare-kmers")
+    index = ranked.where(at <= size - F.ceil(size * (2 * least / (1 + least)) - small) + 1).select(
+        *[F.col(c).alias(f"{c}_b") for c in ("node", "root", "n", "at")], "kmer",
+        _length_class(size).alias("length"))
+    longest = F.least(size, F.floor((size - at + 1) * ((1 + least) / least) - size + small))
+    shortest = F.greatest(F.lit(1), F.ceil(size * least - small))
+    probe = ranked.where(longest >= shortest).withColumn(
+        "length", F.explode(F.sequence(_length_class(shortest), _length_class(longest))))
+    shorter = (F.col("n_b") < size) | ((F.col("n_b") == size) & (F.col("node_b") < F.col("node")))
+    enough = F.least(size - at, F.col("n_b") - F.col("at_b")) + 1 >= F.ceil(
+        (size + F.col("n_b")) * (least / (1 + least)) - small)
+    met = probe.join(index, ["kmer", "length"]).where(
+        (F.col("root") != F.col("root_b")) & shorter & enough).select("node", "node_b").distinct()
+    x = numbered.select("node", F.col("key").alias("a"))
+    y = numbered.select(F.col("node").alias("node_b"), F.col("key").alias("b"))
+    return met.join(x, "node").join(y, "node_b").select("a", "b")
 
 
 def near_duplicates(documents: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """One row per document: doc_id, copy_of (least id with this very text), class_id (least id of
-    all documents linked to it, directly or through others) and n_links of its text."""
+    all documents linked to it, directly or through others) and n_links of its text (comparisons
+    that found it similar; members of one class need not all be compared)."""
     sketched = materialise(
         documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
         .mapInArrow(_sketch, "doc_id long, key binary, bands array<long>"), "sketches")
@@ -232,25 +287,30 @@ def near_duplicates(documents: DataFrame, similarity: float = SIMILARITY) -> Dat
         sketched.where(F.col("key").isNotNull()).groupBy("key")
         .agg(F.min("doc_id").alias("first"), F.any_value("bands").alias("bands")), "texts")
     members = texts.select("key", F.explode("bands").alias("bucket"))
-    buckets = members.groupBy("bucket").agg(F.min("key").alias("least"), F.count("*").alias("size")).where(
-        F.col("size") > 1)
-    met = materialise(members.join(buckets, "bucket"), "buckets")
-    stars = met.where(F.col("key") != F.col("least")).select(F.col("least").alias("a"), F.col("key").alias("b"))
-    links = _links(stars.distinct(), documents, texts, similarity, "star")
+    sizes = members.groupBy("bucket").agg(F.count("*").alias("size")).where(F.col("size") > 1)
+    met = materialise(members.join(sizes, "bucket"), "buckets")
+    # the member that meets the most others is the likeliest original of a group of copies
+    popular = met.groupBy("key").agg(F.sum("size").alias("met"))
+    centre = met.join(popular, "key").groupBy("bucket").agg(F.max(F.struct("met", "key"))["key"].alias("centre"))
+    grouped = materialise(met.join(centre, "bucket"), "centred-buckets")
+    stars = materialise(grouped.where(F.col("key") != F.col("centre")).select(
+        F.col("centre").alias("a"), F.col("key").alias("b")).distinct(), "pairs")
+    held = _words_of(
+        stars.select(F.col("a").alias("key")).union(stars.select("b")).distinct(), documents, texts)
+    links = _links(stars, held, similarity)
     found = components(links)
 
-    # buckets of three and more that hold several components: compare across components
-    grouped = met.where(F.col("size") > 2).join(
+    # buckets that still hold several components, other than compared pairs
+    rooted = grouped.where(F.col("size") > 2).join(
         found.select(F.col("node").alias("key"), "root"), "key", "left").select(
-        "bucket", "key", "least", F.coalesce("root", "key").alias("root"))
-    open_buckets = grouped.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where(
+        "bucket", "key", F.coalesce("root", "key").alias("root"))
+    open_buckets = rooted.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where(
         F.col("low") < F.col("high")).select("bucket")
-    left = materialise(grouped.join(open_buckets, "bucket", "left_semi"), "open-buckets")
+    left = materialise(
+        rooted.join(open_buckets, "bucket", "left_semi").select("key", "root").distinct(), "open-texts")
     if not left.isEmpty():
-        x = left.where(F.col("key") != F.col("least")).select("bucket", F.col("key").alias("a"), F.col("root").alias("ra"))
-        y = x.select("bucket", F.col("a").alias("b"), F.col("ra").alias("rb"))
-        across = x.join(y, "bucket").where((F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")))
-        links = links.unionByName(_links(across.select("a", "b").distinct(), documents, texts, similarity, "across"))
+        pairs = materialise(across_components(left, held, similarity), "pairs")
+        links = links.unionByName(_links(pairs, held, similarity))
         found = components(links)
 
     degree = links.select(F.col("a").alias("key")).union(links.select("b")).groupBy("key").agg(
