@@ -91,6 +91,10 @@ def _bijective(pairs: Column) -> Column:
         both == F.size(F.array_distinct(F.transform(pairs, lambda p: p["y"]))))
 
 
+def _of_kind(kind: int) -> Column:
+    return F.filter("slots", lambda p: p["kx"] == kind)
+
+
 def find_leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, item_id, n_windows, item_windows, exact): every leak of an item in a document.
 
@@ -131,7 +135,7 @@ def find_leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     slots = F.filter("pairs", lambda p: (p["kx"] == p["ky"]) & (p["kx"] > 0))
     good = F.lit(True)
     for kind in (NUM, NAME, UNIT):
-        good = good & _bijective(F.filter("slots", lambda p, kind=kind: p["kx"] == kind))
+        good = good & _bijective(_of_kind(kind))
     judged = paired.select(
         "doc_id", "item_id", "n_windows", "item_windows", slots.alias("slots")).select(
         "doc_id", "item_id", "n_windows", "item_windows", good.alias("consistent"),
