@@ -162,7 +162,7 @@ def _with_model(rows: DataFrame, model: DataFrame, keys: list[str]) -> DataFrame
     return rows.join(renamed, on).drop(*[f"_{k}" for k in keys])
 
 
-def _invert(keys: list[str], schema: str):
+def _invert(keys: list[str]):
     """Covariances from sums, and their inverses, of a batch of groups."""
     size = len(FEATURES)
 
@@ -189,15 +189,14 @@ def concentrate(rows: DataFrame, model: DataFrame, keys: list[str], scaled: bool
     near = _with_model(rows, model, keys).withColumn("_d", _distance())
     limits = near.groupBy(*keys).agg(
         F.percentile_approx("_d", F.array(F.lit(0.5), F.lit(SHARE)), ACCURACY).alias("_q"))
-    limits = materialise(limits.select(*keys, F.col("_q")[0].alias("median"), F.col("_q")[1].alias("limit")), "limits")
+    limits = limits.select(*keys, F.col("_q")[0].alias("median"), F.col("_q")[1].alias("limit"))
     inside = _with_model(near, limits, keys).where(F.col("_d") <= F.col("limit"))
     median = F.max("median") if scaled else F.lit(chi_square(MEDIAN))
     sums = inside.groupBy(*keys).agg(
         F.count("*").alias("n"), median.alias("median"),
         *[F.sum(f).alias(f"s{i}") for i, f in enumerate(FEATURES)],
         *[F.sum(F.col(FEATURES[i]) * F.col(FEATURES[j])).alias(f"s{i}_{j}") for i, j in _PAIRS])
-    schema = ", ".join([*(f"{k} string" for k in keys), _MODEL])
-    return materialise(sums.mapInPandas(_invert(keys, schema), schema), "model")
+    return materialise(sums.mapInPandas(_invert(keys), ", ".join([*(f"{k} string" for k in keys), _MODEL])), "model")
 
 
 def estimate(rows: DataFrame, keys: list[str]) -> DataFrame:

@@ -74,8 +74,9 @@ def windows(hashes: Column) -> Column:
 def benchmark_windows(benchmark: DataFrame) -> DataFrame:
     """(item_id, h, ipos, item_windows) of the windows with enough literals."""
     items = benchmark.select("item_id", tokens(F.col("text")).alias("raw")).distinct()
-    made = items.select("item_id", "raw", template(F.col("raw")).alias("hashes")).select(
-        "item_id", "hashes", windows(F.col("hashes")).alias("w"))
+    # written, or the optimizer would put the whole template into the function of each window
+    made = materialise(items.select("item_id", template(F.col("raw")).alias("hashes")), "benchmark-templates")
+    made = made.select("item_id", "hashes", windows(F.col("hashes")).alias("w"))
     literal = F.size(F.filter(F.slice("hashes", F.col("ipos") + 1, F.lit(WINDOW)), lambda h: ~h.isin(NUM, NAME, UNIT)))
     spread = made.select("item_id", "hashes", F.posexplode("w").alias("ipos", "h")).where(literal >= LITERALS)
     total = spread.groupBy("item_id").agg(F.count_distinct("ipos").alias("item_windows"))
@@ -126,17 +127,17 @@ def find_leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     a, d, i = aligned.alias("a"), texts.alias("d"), item_texts.alias("i")
     joined = a.join(d, F.col("a.doc_id").eqNullSafe(F.col("d.doc_id")) & (F.col("a._tk") == F.col("d._tk"))).join(
         i, F.col("a.item_id").eqNullSafe(F.col("i.item_id"))).select("a.*", "d.raw", "i.item_raw")
+    joined = materialise(joined.withColumns({
+        "item_kinds": kinds(F.col("item_raw")), "raw_kinds": kinds(F.col("raw"))}), "aligned-tokens")
     places = F.sequence(F.col("low"), F.least(F.col("high") + WINDOW - 1, F.size("item_raw") - 1))
     pair = F.transform(places, lambda p: F.struct(
         F.get("item_raw", p).alias("x"), F.get("raw", p + F.col("shift")).alias("y"),
         F.get("item_kinds", p).alias("kx"), F.get("raw_kinds", p + F.col("shift")).alias("ky")))
-    paired = joined.withColumns({
-        "item_kinds": kinds(F.col("item_raw")), "raw_kinds": kinds(F.col("raw"))}).withColumn("pairs", pair)
-    slots = F.filter("pairs", lambda p: (p["kx"] == p["ky"]) & (p["kx"] > 0))
+    slots = F.filter(pair, lambda p: (p["kx"] == p["ky"]) & (p["kx"] > 0))
     good = F.lit(True)
     for kind in (NUM, NAME, UNIT):
         good = good & _bijective(_of_kind(kind))
-    judged = paired.select(
+    judged = joined.select(
         "doc_id", "item_id", "n_windows", "item_windows", slots.alias("slots")).select(
         "doc_id", "item_id", "n_windows", "item_windows", good.alias("consistent"),
         F.forall("slots", lambda p: p["x"] == p["y"]).alias("exact"))
