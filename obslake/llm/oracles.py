@@ -57,7 +57,8 @@ tpl AS (SELECT side, id, list(CASE WHEN k = 0 THEN x ELSE '<' || k || '>' END OR
 win AS (SELECT side, id, i, array_to_string(t[i:i + 7], ' ') AS g,
                len(list_filter(k[i:i + 7], lambda v: v = 0)) AS literals
         FROM (SELECT *, unnest(range(1, len(t) - 6)) AS i FROM tpl)),
-items AS (SELECT *, count(*) OVER (PARTITION BY id) AS n FROM win WHERE side = 'b' AND literals >= 4),
+items AS (SELECT id, g, min(i) AS i, count(*) OVER (PARTITION BY id) AS n FROM win
+          WHERE side = 'b' AND literals >= 4 GROUP BY id, g),
 al AS (SELECT d.id AS doc_id, b.id AS item_id, d.i - b.i AS shift, count(*) AS n_windows, max(b.n) AS item_windows,
               min(b.i) AS low, max(b.i) + 7 AS high
        FROM win d JOIN items b USING (g) WHERE d.side = 'd' GROUP BY 1, 2, 3),

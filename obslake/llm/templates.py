@@ -72,14 +72,16 @@ def windows(hashes: Column) -> Column:
 
 
 def benchmark_windows(benchmark: DataFrame) -> DataFrame:
-    """(item_id, h, ipos, item_windows) of the windows with enough literals."""
+    """(item_id, h, ipos, item_windows) of the different windows with enough literals."""
     items = benchmark.select("item_id", tokens(F.col("text")).alias("raw")).distinct()
     # written, or the optimizer would put the whole template into the function of each window
     made = materialise(items.select("item_id", template(F.col("raw")).alias("hashes")), "benchmark-templates")
-    made = made.select("item_id", "hashes", windows(F.col("hashes")).alias("w"))
-    literal = F.size(F.filter(F.slice("hashes", F.col("ipos") + 1, F.lit(WINDOW)), lambda h: ~h.isin(NUM, NAME, UNIT)))
-    spread = made.select("item_id", "hashes", F.posexplode("w").alias("ipos", "h")).where(literal >= LITERALS)
-    total = spread.groupBy("item_id").agg(F.count_distinct("ipos").alias("item_windows"))
+    literals = F.transform(windows(F.col("hashes")), lambda h, i: F.struct(h.alias("h"), i.alias("ipos"), F.size(
+        F.filter(F.slice("hashes", i + 1, F.lit(WINDOW)), lambda t: ~t.isin(NUM, NAME, UNIT))).alias("literals")))
+    spread = made.select("item_id", F.inline(literals)).where(F.col("literals") >= LITERALS)
+    # of equal windows of an item the first: repeated ones must not meet all repeated ones of a text
+    spread = spread.groupBy("item_id", "h").agg(F.min("ipos").alias("ipos"))
+    total = spread.groupBy("item_id").agg(F.count("*").alias("item_windows"))
     s, t = spread.alias("s"), total.alias("t")
     return s.join(t, F.col("s.item_id").eqNullSafe(F.col("t.item_id"))).select(
         "s.item_id", "s.ipos", "s.h", "t.item_windows")
