@@ -18,14 +18,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from obslake.operators.lookup import BROADCAST_LIMIT, measured_bytes
 from obslake.session import materialise
 
 SPACES = r"(?U)[\s\x1c-\x1f]+"
 # below this ratio a text may be shorter than the number of pieces it has to be cut into
 LOWEST_THRESHOLD = 67.0
 NAMES_PER_TASK = 50_000
-SALTS = 16
 # below this many pairs one pass is cheaper than several
 FEW_PAIRS = 1_000_000
 FIRST_THRESHOLDS = (94.0,)
@@ -145,22 +143,14 @@ def _candidates(
 ) -> DataFrame:
     """(name, canonical, a, b) that share a piece and are near enough by Levenshtein distance.
 
-    Canonical pieces that are measured to fit are broadcast, and the names stay where they are.
-    Beyond that both sides are shuffled; names are distinct, so a salt taken from the name spreads
-    a piece that many of them share evenly over the tasks.
+    Few canonical pieces are broadcast by their size, and the names stay where they are. Beyond that
+    both sides are shuffled, and adaptive execution splits the partition of a piece that many share.
     """
     # a name turns into hundreds of keys, so tasks are sized by names and not by their few bytes
     tasks = max(names.sparkSession.sparkContext.defaultParallelism, ceil(count / NAMES_PER_TASK))
     left = _name_pieces(names.repartition(tasks, "name"), threshold, many)
     right = _canonical_pieces(canonicals, threshold, many)
-    keys = list(KEYS)
-    if measured_bytes(right) <= BROADCAST_LIMIT:
-        right = F.broadcast(right)
-    else:
-        left = left.withColumn("salt", F.pmod(F.xxhash64("name"), F.lit(SALTS)).cast("int"))
-        right = right.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        keys.append("salt")
-    same = [F.col(f"l.{c}") == F.col(f"r.{c}") for c in keys]
+    same = [F.col(f"l.{c}") == F.col(f"r.{c}") for c in KEYS]
     near = F.expr("levenshtein(l.a, r.b, l.allowed) >= 0")
     pairs = left.alias("l").join(right.alias("r"), [*same, near])
     return pairs.select("l.name", "r.canonical", "l.a", "r.b").distinct()
@@ -186,8 +176,9 @@ def _best_at(
         "most_score": score(fewest + (total - fewest) % 2),
         "least_score": score(2 * edits - gap),
     })
-    of_name = Window.partitionBy("name")
-    open_pairs = bounded.withColumn("sure", F.max("least_score").over(of_name)).where(
+    # joined back, not a window: all candidates of a name need not meet in one task
+    sure = bounded.groupBy("name").agg(F.max("least_score").alias("sure"))
+    open_pairs = bounded.join(sure, "name").where(
         F.col("most_score") >= F.greatest("sure", F.lit(threshold)))
     scored = open_pairs.select("name", "canonical", indel_ratio_udf("a", "b").alias("score"))
     best = F.min(F.struct((-F.col("score")).alias("minus"), F.col("canonical")))

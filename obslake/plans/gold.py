@@ -15,7 +15,12 @@ from obslake.schemas import (
 
 
 def dim_company(companies: DataFrame) -> DataFrame:
-    keyed = companies.withColumn("company_id", company_key(F.col("company_name")))
+    """One row per company; of several the last by file, then by content."""
+    file = F.col("source_file") if "source_file" in companies.columns else F.lit(None).cast("string")
+    row = F.struct(*companies.columns)
+    single = companies.groupBy("company_name").agg(
+        F.max_by(row, F.struct(file.alias("file"), F.to_json(row).alias("row"))).alias("c")).select("c.*")
+    keyed = single.withColumn("company_id", company_key(F.col("company_name")))
     # a founding year beyond the integer range is no year
     year = F.col("founded_year").try_cast("int")
     return conform(keyed.withColumn("founded_year", year), DIM_COMPANY)

@@ -86,3 +86,12 @@ def unmatched_companies(cleaned: DataFrame) -> DataFrame:
     )
     return conform(counts, UNMATCHED_COMPANIES).orderBy(
         F.col("article_count").desc(), "company_name_raw")
+
+
+def unmatched_names(
+    articles: DataFrame, companies: DataFrame, rules: Rules = DEFAULT_RULES
+) -> DataFrame:
+    """The same counts straight from raw articles, of which only the name is read."""
+    named = with_company(conform(articles, RAW_ARTICLES).select("company_name"), companies, "company_name", rules)
+    return unmatched_companies(named.withColumn(
+        "company_name_raw", F.coalesce(strip(F.col("company_name")), F.lit(""))))

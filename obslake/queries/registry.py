@@ -230,7 +230,7 @@ def parse_errors(spark, sf_dir):
 
 @query
 def unmatched_counts(spark, sf_dir):
-    return silver.unmatched_companies(_cleaned(spark, sf_dir))
+    return silver.unmatched_names(messy_orders(spark, sf_dir), nation_companies(spark, sf_dir))
 
 
 @query

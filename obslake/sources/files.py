@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import hashlib
+
+import pyarrow as pa
+from pyarrow import fs
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,9 +16,8 @@ from obslake.operators.lookup import lookup_join
 from obslake.schemas import BRONZE_COMPANIES, conform
 from obslake.session import materialise
 
-# a file above this size cannot be read into one value, so its hash stays NULL
-LARGEST_HASHED_FILE = 2**31 - 1
-
+HASHED_AT_A_TIME = 1 << 20
+SURPLUS = "_surplus"
 BYTE_ORDER_MARK = "\ufeff"
 
 COMPANY_FIELDS = T.StructType([
@@ -35,23 +38,55 @@ def scan_articles(spark: SparkSession, path: str, multi_line: bool = True) -> Da
     """All columns of a CSV file or folder as text, with "no value" spellings as ''.
 
     Column names come from the header line and are stripped; every file must have the same
-    header. With ``multi_line`` a quoted cell may hold line breaks, and each file is one task;
+    header. Missing cells at the end of a row are empty; a row with values beyond the last column
+    fails the job. With ``multi_line`` a quoted cell may hold line breaks, and each file is one task;
     without it Spark splits large files.
     """
-    reader = spark.read.options(**csv_options(multi_line))
-    raw = reader.csv(path).select("*", F.col("_metadata.file_path").alias("source_file"))
+    names = spark.read.options(**csv_options(multi_line)).csv(path).columns
+    text = T.StructType([T.StructField(c, T.StringType()) for c in names])
+    # a row that does not have a cell per column is also kept as text
+    raw = spark.read.schema(text.add(SURPLUS, "string")).options(
+        **csv_options(multi_line), columnNameOfCorruptRecord=SURPLUS, columnPruning=False).csv(path).select(
+        "*", F.col("_metadata.file_path").alias("source_file"))
+    surplus = too_many_cells(F.col(SURPLUS), len(names))
+    message = F.concat(F.lit("too many cells in "), F.col("source_file"), F.lit(": "), F.col(SURPLUS))
     cells = [
-        fold_null_tokens(F.col(f"`{c}`")).alias(c.lstrip(BYTE_ORDER_MARK).strip())
-        for c in raw.columns if c != "source_file"
+        F.when(surplus, F.raise_error(message)).otherwise(fold_null_tokens(F.col(f"`{c}`")))
+        .alias(c.lstrip(BYTE_ORDER_MARK).strip())
+        for c in names
     ]
     return raw.select(*cells, "source_file")
 
 
+def too_many_cells(record: Column, count: int) -> Column:
+    """Whether a row kept as text has a value beyond its columns; missing cells are no error."""
+    wide = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(2 * count + 1)])
+    cells = F.from_csv(record, wide.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " "),
+                       {"quote": '"', "escape": '"', "mode": "PERMISSIVE"})
+    beyond = [cells[f"c{i}"].isNotNull() for i in range(count, 2 * count + 1)]
+    return record.isNotNull() & F.array_contains(F.array(*beyond), True)
+
+
 def file_hashes(spark: SparkSession, path: str) -> DataFrame:
     """(source_file, source_hash): SHA-1 of each file's bytes."""
-    files = spark.read.format("binaryFile").load(path)
-    return files.where(F.col("length") <= LARGEST_HASHED_FILE).select(
-        F.col("_metadata.file_path").alias("source_file"), F.sha1("content").alias("source_hash"))
+    # only the names are read here; a task opens each file and hashes it block by block
+    files = spark.read.format("binaryFile").load(path).select(
+        F.col("_metadata.file_path").alias("source_file"), "length")
+    return files.select("source_file").mapInArrow(_hash_files, "source_file string, source_hash string")
+
+
+def _hash_files(batches):
+    for batch in batches:
+        digests = []
+        for uri in batch.column("source_file").to_pylist():
+            store, place = fs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
+            digest = hashlib.sha1()
+            with store.open_input_stream(place) as stream:
+                while block := stream.read(HASHED_AT_A_TIME):
+                    digest.update(block)
+            digests.append(digest.hexdigest())
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("source_file"), pa.array(digests, pa.string())], names=["source_file", "source_hash"])
 
 
 def with_provenance(rows: DataFrame, path: str) -> DataFrame:
@@ -67,22 +102,29 @@ def scan_companies(spark: SparkSession, path: str) -> DataFrame:
     """One row per key of a JSON object of objects; missing or unreadable fields are NULL.
 
     A JSON object cannot be split, so each file is one task. Larger master data comes as a folder
-    of such files.
+    of such files. Of entries with the same key the last one counts: within a file by position,
+    across files by the file's name. A file that is no JSON object fails the job.
     """
-    text = spark.read.text(path, wholetext=True)
-    fields = T.MapType(T.StringType(), COMPANY_FIELDS)
-    entries = text.select(
-        F.explode(F.from_json("value", fields)).alias("company_name", "f"),
-        F.col("_metadata.file_path").alias("source_file"))
-    return entries.select(
+    text = spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("source_file"))
+    # the object first, then each entry by itself, so that one bad entry leaves its neighbours alone
+    entries = F.from_json("value", T.MapType(T.StringType(), T.StringType()))
+    broken = F.raise_error(F.concat(F.lit("not a JSON object: "), F.col("source_file")))
+    rows = text.select("source_file", F.posexplode(
+        F.map_entries(F.when(entries.isNull(), broken).otherwise(entries))).alias("pos", "entry"))
+    parsed = rows.select(
+        F.col("entry.key").alias("company_name"), "source_file", "pos",
+        F.from_json("entry.value", COMPANY_FIELDS).alias("f"))
+    last = parsed.groupBy("company_name").agg(
+        F.max_by(F.struct("f", "source_file"), F.struct("source_file", "pos")).alias("e"))
+    return last.select(
         "company_name",
-        lenient_long(F.col("f.founded_year")).alias("founded_year"),
-        F.col("f.headquarters").alias("headquarters"),
-        lenient_long(F.col("f.employee_count")).alias("employee_count"),
-        F.col("f.industry").alias("industry"),
-        lenient_boolean(F.col("f.is_public")).alias("is_public"),
-        F.col("f.stock_ticker").alias("stock_ticker"),
-        "source_file",
+        lenient_long(F.col("e.f.founded_year")).alias("founded_year"),
+        F.col("e.f.headquarters").alias("headquarters"),
+        lenient_long(F.col("e.f.employee_count")).alias("employee_count"),
+        F.col("e.f.industry").alias("industry"),
+        lenient_boolean(F.col("e.f.is_public")).alias("is_public"),
+        F.col("e.f.stock_ticker").alias("stock_ticker"),
+        F.col("e.source_file").alias("source_file"),
     )
 
 

@@ -83,7 +83,6 @@ def test_ratio_anchors():
 
 @pytest.mark.parametrize("threshold,settings", [
     (88.0, {}), (75.0, {}),
-    (88.0, {"BROADCAST_LIMIT": 0}),  # as if the canonical names were too many to broadcast
     (88.0, {"FEW_PAIRS": 0}), (75.0, {"FEW_PAIRS": 0}),  # as if there were many pairs
 ])
 def test_fuzzy_join_equals_brute_force(spark, monkeypatch, threshold, settings):

@@ -155,3 +155,38 @@ def test_csv_sink_writes_arrays_as_json(spark, tmp_path):
     write_csv(df, str(tmp_path), "t")
     got = spark.read.option("header", True).option("escape", '"').csv(str(tmp_path / "t")).first()
     assert (got["v"], got["n"]) == ("[1.0,0.5]", None)
+
+
+@pytest.mark.parametrize("multi_line", [True, False])
+def test_surplus_cells_fail_and_missing_ones_do_not(spark, tmp_path, multi_line):
+    good = tmp_path / "good.csv"
+    good.write_text('a,b,c\n1,2\n3,"4,""x",5\n6,7,8,,\n')
+    rows = [tuple(r)[:3] for r in scan_articles(spark, str(good), multi_line).collect()]
+    assert sorted(rows) == [("1", "2", ""), ("3", '4,"x', "5"), ("6", "7", "8")]
+    bad = tmp_path / "bad.csv"
+    bad.write_text("a,b,c\n1,2,3\n4,5,6,7\n")
+    with pytest.raises(Exception, match="too many cells in .*bad.csv"):
+        scan_articles(spark, str(bad), multi_line).select("a").collect()
+
+
+def test_company_files_are_never_lost_or_multiplied(spark, tmp_path):
+    (tmp_path / "a.json").write_text(
+        '{"One": {"headquarters": "old"}, "Two": "no object", "One": {"headquarters": "new", "founded_year": 1}}')
+    (tmp_path / "b.json").write_text('{"Two": {"headquarters": "x"}, "Three": {"founded_year": "bad"}}')
+    got = {r["company_name"]: (r["headquarters"], r["founded_year"]) for r in read_companies(spark, str(tmp_path)).collect()}
+    assert got == {"One": ("new", 1), "Two": ("x", None), "Three": (None, None)}
+    assert read_companies(spark, str(tmp_path)).count() == 3
+    (tmp_path / "c.json").write_text('{"Four": {"headquarters": "y"}, "Fi')
+    with pytest.raises(Exception, match="not a JSON object: .*c.json"):
+        read_companies(spark, str(tmp_path)).collect()
+
+
+def test_dim_company_has_a_row_per_name(spark):
+    from obslake.plans.gold import dim_company
+    from obslake.schemas import BRONZE_COMPANIES, conform
+
+    rows = spark.createDataFrame(
+        [("A", "x", "f1"), ("A", "y", "f2"), ("B", None, "f1")], "company_name string, headquarters string, source_file string")
+    rows = conform(rows.withColumns({n: F.lit(None) for n in BRONZE_COMPANIES.names if n not in rows.columns}), BRONZE_COMPANIES)
+    got = sorted((r["company_name"], r["headquarters"]) for r in dim_company(rows).collect())
+    assert got == [("A", "y"), ("B", None)]
