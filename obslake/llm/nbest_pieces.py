@@ -16,8 +16,7 @@ The N best segmentations of a text differ from the best one only in the N - 1 un
 (others would already be behind N better ones). On these units a backward A* search runs from the
 end of the piece lattice: f(p) is the exact score of the best way to complete a suffix, so
 segmentations come off the queue in order of score and no dead end is expanded. The alternatives of
-the units are combined best-first into the N best of the text. Equal scores are settled by the
-longer last piece, then by the earlier unit.
+the units are combined best-first into the N best of the text.
 
 Null text: null ids. Empty text: no ids. Decoding gives back every text exactly.
 """
@@ -36,6 +35,8 @@ from obslake.llm import textbatch as tb
 from obslake.llm.tables import Carried
 
 NBEST = 4
+#: Longer units, which are rare, are searched one by one.
+LONG = 200
 FALLBACK = 10.0
 MARK = "▁"
 SPACE, BREAK = 0x20, 0x0A
@@ -239,7 +240,8 @@ def a_star(pieces: Pieces, unit: bytes, count: int) -> list[tuple[float, tuple[i
         for start, score, ids in into[position]:
             if forward[start] > NONE / 2:
                 made += 1
-                heapq.heappush(queue, (-(forward[start] + score + done), made, start, score + done, (ids, path)))
+                # of equal ones the newest first, which is the furthest: ties must not widen the search
+                heapq.heappush(queue, (-(forward[start] + score + done), -made, start, score + done, (ids, path)))
     return results
 
 
@@ -276,7 +278,12 @@ class Encoder:
         n, lengths = len(starts), ends - starts
         counts, scores, gaps = np.zeros(n, dtype=np.int64), np.zeros(n), np.zeros(n)
         parts = []
-        for size in np.unique(lengths).tolist():
+        for k in np.flatnonzero(lengths > LONG).tolist():
+            found = a_star(self.pieces, data[starts[k]:ends[k]].tobytes(), 2)
+            counts[k], scores[k] = len(found[0][1]), found[0][0]
+            gaps[k] = found[0][0] - found[1][0] if len(found) > 1 else np.inf
+            parts.append((np.array([k]), np.array(found[0][1], dtype=np.int32)[:, None]))
+        for size in np.unique(lengths[lengths <= LONG]).tolist():
             every = np.flatnonzero(lengths == size)
             step = max(1, 1_000_000 // size)
             for low in range(0, len(every), step):

@@ -55,8 +55,6 @@ def test_n_best_of_a_text(encoder, text):
     scores = [best[0] + loss for loss, _ in others[0]]
     assert scores == pytest.approx([s for s, _ in expected[:nb.NBEST]])
     assert encoder.pieces.decode(ids_.tolist()) == text
-    assert sum(encoder.pieces.score[i] if encoder.pieces.bytes_of[i] in encoder.pieces.found and encoder.pieces.found[
-        encoder.pieces.bytes_of[i]] == i else 0 for i in ids_.tolist()) <= best[0] + 1e9 * len(text) + 1e9
 
 
 @settings(max_examples=200, deadline=None)
