@@ -313,4 +313,15 @@ SELECT k AS o_orderkey, nation AS company_name_resolved,
        CASE WHEN k % 3 = 0 THEN k * 1000 ELSE usd END AS arr_usd,
        CASE WHEN k % 3 = 0 THEN 'valid' ELSE status END AS arr_parse_status
 FROM e""",
+    "encoding_text": """
+SELECT doc_id, md5(trim(coalesce(nullif(lang, 'de'), '') || ' ' || coalesce(text, ''), w)) AS text_md5
+FROM documents, (SELECT string_agg(chr(CAST(c AS INTEGER)), '') AS w FROM (SELECT unnest(
+  [9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 133, 160, 5760, 8232, 8233, 8239, 8287, 12288] || range(8192, 8203)) AS c))""",
+    "embeddings_roundtrip": """
+SELECT vec_id, CAST(len(embedding) AS BIGINT) AS dimension, round(list_sum(embedding::DOUBLE[]), 6) AS total,
+       true AS same FROM embeddings""",
+    "provenance": """
+SELECT CAST(c_nationkey AS BIGINT) AS c_nationkey,
+       sha1(string_agg(c_name, chr(10) ORDER BY c_custkey) || chr(10)) AS source_hash
+FROM customer GROUP BY 1""",
 }

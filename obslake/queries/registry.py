@@ -12,8 +12,9 @@ from obslake.functions.category import is_ai_category, standardize_category
 from obslake.functions.dates import with_parsed_date
 from obslake.functions.keys import article_key, company_key, observation_key
 from obslake.functions.money import with_parsed_revenue
+from obslake.functions.vectors import from_json, to_json
 from obslake.operators import series
-from obslake.operators.encode import encode_text
+from obslake.operators.encode import article_text, encode_text
 from obslake.operators.neighbours import top_neighbours
 from obslake.operators.quality import duplicate_keys, table_counts
 from obslake.operators.resolve import with_company
@@ -26,9 +27,9 @@ from obslake.queries.inputs import (
 )
 from obslake.rules import DEFAULT_RULES
 from obslake.session import materialise, spread, work_folder
-from obslake.sinks.tables import write_csv, write_table
-from obslake.sources.files import read_companies, scan_articles
-from obslake.sources.tables import read_table
+from obslake.sinks.tables import write_csv, write_embeddings, write_table
+from obslake.sources.files import file_hashes, read_companies, scan_articles
+from obslake.sources.tables import read_embeddings, read_table
 from obslake.streaming.incremental import compact, current_articles, start_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -412,8 +413,41 @@ def text_encoding(spark, sf_dir):
         .alias("heavy"))
 
 
+@query
+def encoding_text(spark, sf_dir):
+    """The text that is encoded: title and summary, here language and text of each document."""
+    text = article_text(F.nullif(F.col("lang"), F.lit("de")), F.col("text"))
+    return table(spark, sf_dir, "documents").select("doc_id", F.md5(text).alias("text_md5"))
+
+
+@query
+def embeddings_roundtrip(spark, sf_dir):
+    """Vectors to the table of vectors and back, and through JSON text."""
+    folder = work_folder(spark, "vectors")
+    vectors = table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").cast("string").alias("article_id"), "embedding")
+    write_embeddings(vectors, folder)
+    vector = F.col("embedding")
+    parsed = F.transform(from_json(to_json(vector)), lambda x: x.cast("float"))
+    total = F.aggregate(vector, F.lit(0.0), lambda t, x: t + x.cast("double"))
+    return read_embeddings(spark, folder).select(
+        F.col("article_id").cast("bigint").alias("vec_id"), F.size(vector).cast("bigint").alias("dimension"),
+        F.round(total, 6).alias("total"), (parsed == vector).alias("same"))
+
+
 # --- files and tables ---------------------------------------------------------------------------
 
+@query
+def provenance(spark, sf_dir):
+    """Hashes of files whose content is known: the customers of each nation, a line each."""
+    folder = work_folder(spark, "hashed")
+    names = F.transform(F.array_sort(F.collect_list(F.struct("c_custkey", "c_name"))), lambda c: c["c_name"])
+    table(spark, sf_dir, "customer").groupBy("c_nationkey").agg(
+        F.array_join(names, "\n").alias("value")).write.partitionBy("c_nationkey").text(folder)
+    nation = F.regexp_extract("source_file", r"c_nationkey=(\d+)", 1).cast("bigint")
+    return file_hashes(spark, folder).select(nation.alias("c_nationkey"), "source_hash")
+
+
 @query
 def csv_source(spark, sf_dir):
     """Raw articles through the CSV sink and the CSV source."""
