@@ -42,7 +42,8 @@ def spread(df: DataFrame) -> DataFrame:
 def _work_dir(spark: SparkSession) -> str:
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not spark.sparkContext.master.startswith("local["):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         shared = tempfile.mkdtemp(prefix="obslake-work-")
         spark.conf.set("spark.checkpoint.dir", shared)
