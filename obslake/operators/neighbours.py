@@ -14,7 +14,7 @@ like the exact case.
 
 from __future__ import annotations
 
-from math import ceil
+from math import ceil, sqrt
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +29,8 @@ from obslake.session import materialise
 # a cell of the grid holds two blocks; at 384 dimensions a block is 25 MB, or 50 MB in doubles
 BLOCK_ROWS = 16_384
 ROWS_AT_ONCE = 256
+# smaller blocks are not worth a task of their own
+SMALLEST_BLOCK = 256
 # scores closer than this are equal, so copies tie whatever order the sums were taken in
 DECIMALS = 12
 
@@ -112,6 +114,13 @@ def _candidates(cells: DataFrame, k: int) -> DataFrame:
     return cells.groupBy("bucket", "low", "high").applyInArrow(_grid_cell(k), schema)
 
 
+def grid_size(rows: int, block_rows: int, cores: int) -> int:
+    """Blocks of a grid: as many as memory asks for, or enough that each core has a cell of it."""
+    by_memory = ceil(rows / block_rows)
+    by_cores = ceil((sqrt(8 * cores + 1) - 1) / 2)  # b blocks make b * (b + 1) / 2 cells
+    return max(1, by_memory, min(by_cores, ceil(rows / SMALLEST_BLOCK)))
+
+
 def top_neighbours(
     vectors: DataFrame, k: int = 3, id_column: str = "article_id",
     vector_column: str = "embedding", block_rows: int = BLOCK_ROWS,
@@ -122,7 +131,7 @@ def top_neighbours(
     """
     rows = vectors.where(F.col(vector_column).isNotNull()).select(
         F.lit(0).alias("bucket"), F.col(id_column).alias("id"), F.col(vector_column).alias("vector"))
-    blocks = max(1, ceil(rows.count() / block_rows))
+    blocks = grid_size(rows.count(), block_rows, vectors.sparkSession.sparkContext.defaultParallelism)
     return _ranked(_candidates(_cells(rows, F.lit(blocks)), k), k)
 
 

@@ -163,3 +163,10 @@ def test_other_encoders(spark):
     got = encode_text(df, F.col("t"), Lengths)
     assert got.schema.simpleString() == "struct<article_id:bigint,embedding:array<float>>"
     assert got.first()["embedding"] == [1.0, 0.0]
+
+
+@pytest.mark.parametrize("rows, blocks", [(0, 1), (1, 1), (300, 2), (2000, 4), (100_000, 7)])
+def test_a_grid_has_a_cell_for_each_core(rows, blocks):
+    from obslake.operators.neighbours import BLOCK_ROWS, grid_size
+
+    assert grid_size(rows, BLOCK_ROWS, 8) == blocks
