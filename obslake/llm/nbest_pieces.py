@@ -267,7 +267,7 @@ class Encoder:
     """Encodes batches of texts; lives in a task."""
 
     #: Units with their segmentations that a task remembers.
-    REMEMBERED = 200_000
+    REMEMBERED = 20_000
 
     def __init__(self, path: str, nbest: int = NBEST):
         self.pieces, self.nbest = Pieces(path), nbest
@@ -285,7 +285,7 @@ class Encoder:
             parts.append((np.array([k]), np.array(found[0][1], dtype=np.int32)[:, None]))
         for size in np.unique(lengths[lengths <= LONG]).tolist():
             every = np.flatnonzero(lengths == size)
-            step = max(1, 1_000_000 // size)
+            step = max(1, 400_000 // size)
             for low in range(0, len(every), step):
                 which = every[low:low + step]
                 lattices = Lattices(self.pieces, data[starts[which][:, None] + np.arange(size)])
@@ -362,7 +362,7 @@ _CHANGES = pa.list_(pa.list_(pa.struct([("unit", pa.int32()), ("ids", pa.list_(p
 def _encode(path: str, nbest: int, digest: bool, names: list[str]):
     def run(batches):
         encoder = Encoder(path, nbest)
-        for batch in tb.pieces(batches, "text"):
+        for batch in tb.pieces(batches, "text", tb.CHUNK):
             texts = tb.column_of(batch, "text")
             ids, cut, best, others = encoder.encode(texts)
             at, valid = cut.tolist(), texts.is_valid().to_pylist()

@@ -119,7 +119,7 @@ def whole_windows(text_of_word: np.ndarray, size: int) -> np.ndarray:
     return text_of_word[:count] == text_of_word[size - 1:size - 1 + count]
 
 
-def pieces(batches: Iterator[pa.RecordBatch], column: str, size: int = 4 * CHUNK) -> Iterator[pa.RecordBatch]:
+def pieces(batches: Iterator[pa.RecordBatch], column: str, size: int = 2 * CHUNK) -> Iterator[pa.RecordBatch]:
     """Cut batches so that the texts of each have about ``size`` bytes; a longer text stands alone."""
     for batch in batches:
         lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
