@@ -11,9 +11,14 @@ the second half first and inside the ranges then, so a very frequent line is spr
 The suffixes that share L lines form the LCP interval of depth L. It is found from ranks of level
 k, 2^k <= L < 2^(k+1), as the pair of ranks of the run's first and last 2^k lines. A run counts if it
 has at least ``min_words`` words, so the interval of interest at a line has the least depth L that
-reaches them; deeper intervals are nested in these and their copies are covered by the same marks.
-All members of an interval but the first (least doc_id, then line) are marked, L lines each; marked
-lines that follow each other make up the maximal repeated runs, which are deleted.
+reaches them. All members of an interval but the first (least doc_id, then line) are marked, L lines
+each, and marked lines are deleted.
+
+These marks leave the end of a maximal repeated run: the lines after the last least run that fits into
+it. With ``whole`` a line also asks for deeper intervals, up to the depth from which on the run without
+its first line has ``min_words`` words too, for such a run is a later copy of its own and is marked from
+the next line. So every line of a later copy of a run of at least ``min_words`` words is deleted, and no
+depth beyond these can add one. The depths asked for are at most two per line of the corpus in all.
 
 Null text: no lines, stays null. Empty text: one empty line. Rows that agree in doc_id and text are one
 document and keep the same lines. Null doc_id sorts last. Other columns pass through untouched.
@@ -40,8 +45,11 @@ DOC = ["_doc", "_tk"]
 LAST = 2**63 - 1
 
 
-def _lines(min_words: int):
-    """Lines of each document with two hashes, and how many lines from here reach ``min_words``."""
+def _lines(min_words: int, whole: bool):
+    """Lines of each document with two hashes, and how many lines from here reach ``min_words``.
+
+    With ``whole`` also ``deepest``: how many lines from here the next line does not answer for.
+    """
     def run(batches):
         for batch in tb.pieces(batches, "text"):
             data, offsets = tb.utf8(tb.column_of(batch, "text"))
@@ -56,23 +64,31 @@ def _lines(min_words: int):
             reach = np.searchsorted(word_starts, ends)
             before = np.searchsorted(word_starts, starts)
             last = np.searchsorted(reach, before + min_words)
-            depth = np.where(last < (first + lines)[doc], last - np.arange(len(starts)) + 1, 0)
+            end = (first + lines)[doc]
+            depth = np.where(last < end, last - np.arange(len(starts)) + 1, 0)
+            deepest = np.minimum(np.append(last[1:], len(starts)), end) - np.arange(len(starts))
+            more = [pa.array(np.where(depth > 0, np.maximum(deepest, depth), 0), pa.int32())] if whole else []
             take = pa.array(doc)
             yield pa.RecordBatch.from_arrays([
                 tb.column_of(batch, "_doc").take(take), tb.column_of(batch, "_tk").take(take),
                 pa.array(number, pa.int32()),
                 pa.array(tb.segment_hashes(data, starts, ends, 0).view(np.int64)),
                 pa.array(tb.segment_hashes(data, starts, ends, 1).view(np.int64)),
-                pa.array(depth, pa.int32()),
-            ], names=["_doc", "_tk", "line", "h", "g", "depth"])
+                pa.array(depth, pa.int32()), *more,
+            ], names=["_doc", "_tk", "line", "h", "g", "depth", "deepest"][:6 + whole])
     return run
 
 
-def line_ids(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """(_doc, _tk, line, h, g, depth) of every line."""
+def line_ids(documents: DataFrame, min_words: int = MIN_WORDS, whole: bool = False) -> DataFrame:
+    """(_doc, _tk, line, h, g, depth) of every line, with ``whole`` also deepest."""
     source = documents.where(F.col("text").isNotNull()).select(*_identity(documents), "text")
     return source.mapInArrow(
-        _lines(min_words), "_doc long, _tk long, line int, h long, g long, depth int")
+        _lines(min_words, whole),
+        "_doc long, _tk long, line int, h long, g long, depth int" + ", deepest int" * whole)
+
+
+def _depths(rows: DataFrame) -> list[str]:
+    return [c for c in ("depth", "deepest") if c in rows.columns]
 
 
 def _identity(documents: DataFrame):
@@ -85,7 +101,7 @@ def repeated_lines(lines: DataFrame) -> DataFrame:
     counts = lines.groupBy("h", "g").agg(F.count("*").alias("n")).where(F.col("n") > 1)
     before = Window.partitionBy("h").orderBy("g").rowsBetween(Window.unboundedPreceding, -1)
     ranked = counts.select("h", "g", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("o"))
-    return lines.join(ranked, ["h", "g"]).select(*DOC, "line", "h", "o", "depth", F.lit(1).alias("size"))
+    return lines.join(ranked, ["h", "g"]).select(*DOC, "line", "h", "o", *_depths(lines), F.lit(1).alias("size"))
 
 
 def _following(column: str, distance: int):
@@ -102,7 +118,7 @@ def double(ranked: DataFrame, reach: int) -> DataFrame:
     """
     whole = F.col("size") == reach
     paired = ranked.select(
-        *DOC, "line", "h", "o", "depth", "size",
+        *DOC, "line", "h", "o", *_depths(ranked), "size",
         F.when(whole, _following("h", reach)).alias("h2"), F.when(whole, _following("o", reach)).alias("o2"),
         F.when(whole, _following("size", reach)).alias("size2"))
     paired = materialise(paired, "line-pairs")
@@ -123,7 +139,7 @@ def double(ranked: DataFrame, reach: int) -> DataFrame:
     joined = p.join(q, [F.col("p.h") == F.col("q.h"), F.col("p.o") == F.col("q.o"),
                         F.col("p.h2").eqNullSafe(F.col("q.h2")), F.col("p.o2").eqNullSafe(F.col("q.o2"))])
     return joined.select(
-        *[F.col(f"p.{c}") for c in DOC], "p.line", "p.h", F.col("q.new").alias("o"), "p.depth",
+        *[F.col(f"p.{c}") for c in DOC], "p.line", "p.h", F.col("q.new").alias("o"), *[f"p.{c}" for c in _depths(ranked)],
         (F.col("p.size") + F.coalesce("p.size2", F.lit(0))).alias("size"))
 
 
@@ -145,17 +161,21 @@ def suffix_ranks(ranked: DataFrame, deepest: int | None = None) -> Iterator[tupl
 def later_copies(lines: DataFrame) -> DataFrame:
     """(_doc, _tk, line, depth): runs of ``depth`` lines from ``line`` that have occurred before."""
     ranked = materialise(repeated_lines(lines), "repeated-lines")
-    deepest = ranked.agg(F.max("depth").alias("n")).first()["n"] or 0
+    deepest = ranked.agg(F.max(_depths(ranked)[-1]).alias("n")).first()["n"] or 0
     found = []
     for reach, ranks in suffix_ranks(ranked, deepest):
+        asked = ranks
+        if "deepest" in ranks.columns:
+            low, high = F.greatest("depth", F.lit(reach)), F.least("deepest", F.lit(2 * reach - 1))
+            asked = ranks.where((F.col("depth") > 0) & (low <= high)).withColumn("depth", F.explode(F.sequence(low, high)))
         here = (F.col("depth") >= reach) & (F.col("depth") < 2 * reach)
         if reach > 1:
             # the rank of the run's last lines, which overlaps the first; a range frame can't vary by row
             ends = ranks.where(F.col("size") == reach).select(*DOC, F.col("line").alias("_end"), F.col("h").alias("h2"), F.col("o").alias("o2"))
-            runs = ranks.where(here & (F.col("size") == reach)).withColumn(
+            runs = asked.where(here & (F.col("size") == reach)).withColumn(
                 "_end", F.col("line") + F.col("depth") - F.lit(reach)).join(ends, [*DOC, "_end"])
         else:
-            runs = ranks.where(here).withColumns({"h2": F.col("h"), "o2": F.col("o")})
+            runs = asked.where(here).withColumns({"h2": F.col("h"), "o2": F.col("o")})
         interval = ["depth", "h", "o", "h2", "o2"]
         place = F.struct(*DOC, "line")
         runs = materialise(runs.select(*DOC, "line", *interval), "line-runs")
@@ -196,9 +216,12 @@ def _delete(batches):
             names=["row", "text", *RESULT.fieldNames()])
 
 
-def delete_repeated_runs(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """The documents without later copies of repeated runs of lines, with _n_lines and _n_removed."""
-    lines = materialise(line_ids(documents, min_words), "lines")
+def delete_repeated_runs(documents: DataFrame, min_words: int = MIN_WORDS, whole: bool = False) -> DataFrame:
+    """The documents without later copies of repeated runs of lines, with _n_lines and _n_removed.
+
+    ``whole``: to the end of each maximal run, not only as far as its least runs reach.
+    """
+    lines = materialise(line_ids(documents, min_words, whole), "lines")
     marks = later_copies(lines).distinct()
     of_doc = marks.groupBy(*DOC).agg(
         F.sort_array(F.collect_list(F.struct("line", "depth"))).alias("marks"))

@@ -28,6 +28,24 @@ r AS (SELECT a.doc_id, a.i, min(b.i) AS last FROM c a JOIN c b
       ON b.doc_id = a.doc_id AND b.i >= a.i AND b.upto - a.upto + a.n >= 8 GROUP BY 1, 2),
 runs AS (SELECT r.doc_id, r.i, r.last, d.l[r.i:r.last] AS run FROM r JOIN d USING (doc_id)),
 f AS (SELECT run, min(struct_pack(doc_id := doc_id, i := i)) AS first FROM runs GROUP BY run),
+gone AS (SELECT DISTINCT runs.doc_id, unnest(range(runs.i, runs.last + 1)) AS i FROM runs JOIN f USING (run)
+         WHERE f.first < struct_pack(doc_id := runs.doc_id, i := runs.i)),
+kept AS (SELECT p.doc_id, count(*) AS n, string_agg(line, chr(10) ORDER BY p.i) AS kept FROM p
+         LEFT JOIN gone ON gone.doc_id = p.doc_id AND gone.i = p.i WHERE gone.i IS NULL GROUP BY 1)
+SELECT d.doc_id, CAST(coalesce(len(l), 0) AS BIGINT) AS n_lines,
+       CAST(coalesce(len(l), 0) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       CASE WHEN l IS NOT NULL THEN sha256(coalesce(kept, '')) END AS kept_sha256
+FROM d LEFT JOIN kept ON kept.doc_id = d.doc_id""",
+    "op5_whole_line_runs": r"""
+WITH d AS (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents),
+p AS (SELECT doc_id, i, l[i] AS line, len(regexp_extract_all(l[i], '[^\x20\x09-\x0D]+')) AS n
+      FROM (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS i FROM d)),
+c AS (SELECT *, sum(n) OVER (PARTITION BY doc_id ORDER BY i) AS upto FROM p),
+-- every run of eight words or more
+r AS (SELECT a.doc_id, a.i, b.i AS last FROM c a JOIN c b
+      ON b.doc_id = a.doc_id AND b.i >= a.i AND b.upto - a.upto + a.n >= 8),
+runs AS (SELECT r.doc_id, r.i, r.last, d.l[r.i:r.last] AS run FROM r JOIN d USING (doc_id)),
+f AS (SELECT run, min(struct_pack(doc_id := doc_id, i := i)) AS first FROM runs GROUP BY run),
 gone AS (SELECT DISTINCT runs.doc_id, unnest(range(runs.i, runs.last + 1)) AS i FROM runs JOIN f USING (run)
          WHERE f.first < struct_pack(doc_id := runs.doc_id, i := runs.i)),
 kept AS (SELECT p.doc_id, count(*) AS n, string_agg(line, chr(10) ORDER BY p.i) AS kept FROM p

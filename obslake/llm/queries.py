@@ -43,6 +43,14 @@ def op5_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op5_whole_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_runs.delete_repeated_runs(
+        _table(spark, sf_dir, "documents").select("doc_id", "text"), whole=True)
+    return kept.select(
+        "doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_removed").alias("n_removed"),
+        F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op6_credential_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_secrets(_table(spark, sf_dir, "documents"))
 
@@ -75,6 +83,7 @@ QUERIES = {
     "op3_nbest_pieces": op3_nbest_pieces,
     "op4_slot_map": op4_slot_map,
     "op5_line_runs": op5_line_runs,
+    "op5_whole_line_runs": op5_whole_line_runs,
     "op6_credential_grammar": op6_credential_grammar,
     "op7_order_minhash": op7_order_minhash,
     "op8_cross_parsing": op8_cross_parsing,
