@@ -3,7 +3,7 @@
 Language ID drops documents without a language (null text, no letters). Line dedup deletes later
 copies of repeated runs of lines and drops documents of which no word is left. Near-dedup keeps the
 document with the least id of each group, and all documents without text. Decontamination drops documents that
-hold a benchmark item. The last stage encodes the texts and returns ids in place of the texts.
+hold a benchmark item, by its template or word for word in any case. The last stage encodes the texts and returns ids in place of the texts.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from obslake.llm import cross_parsing, line_runs, nbest_pieces
 from obslake.llm.order_minhash import near_duplicates
 from obslake.llm.tables import checked_join
-from obslake.llm.templates import find_leaks
+from obslake.llm.templates import find_copies, find_leaks
 from obslake.session import materialise, work_folder
 
 WORD = r"[^\x20\x09-\x0D]"
@@ -40,7 +40,8 @@ def dedup_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    leaks = find_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    leaks = find_leaks(docs, benchmark).select("doc_id").unionByName(find_copies(docs, benchmark).select("doc_id"))
     found = materialise(leaks.select(F.col("doc_id").alias("_id")).distinct(), "leaked-documents")
     return checked_join(docs, found, docs["doc_id"].eqNullSafe(found["_id"]), "left_anti", row_bytes=32)
 

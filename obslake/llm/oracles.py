@@ -62,6 +62,19 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN payload_bytes >= 1000 AND last > page_id THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN payload_bytes >= 1000 AND last > page_id THEN last END AS refers_to
 FROM q""",
+    "op1_verbatim_leaks": rf"""
+WITH raw AS (
+    SELECT 'd' AS side, doc_id AS id, regexp_extract_all(lower(text), '{TOKEN}') AS w FROM documents
+    UNION ALL SELECT 'b', item_id, regexp_extract_all(lower(text), '{TOKEN}') FROM benchmark),
+lengths AS (SELECT DISTINCT least(len(w), 13) AS n FROM raw WHERE side = 'b' AND len(w) > 0),
+asked AS (SELECT side, id, w, n FROM raw JOIN lengths ON n <= len(w) WHERE side = 'd' OR n = least(len(w), 13)),
+win AS (SELECT side, id, n, i, array_to_string(w[i:i + n - 1], ' ') AS g
+        FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS i FROM asked)),
+items AS (SELECT id, n, g, min(i) AS i, count(*) OVER (PARTITION BY id) AS total FROM win
+          WHERE side = 'b' GROUP BY id, n, g),
+al AS (SELECT d.id AS doc_id, b.id AS item_id, count(*) AS n_windows, max(b.total) AS item_windows
+       FROM win d JOIN items b USING (n, g) WHERE d.side = 'd' GROUP BY 1, 2, d.i - b.i)
+SELECT doc_id, item_id, max(n_windows) AS n_windows, max(item_windows) AS item_windows FROM al GROUP BY 1, 2""",
     "op1_template_leaks": rf"""
 WITH raw AS (
     SELECT 'd' AS side, doc_id AS id, regexp_extract_all(text, '{TOKEN}') AS w FROM documents

@@ -10,7 +10,7 @@ from obslake.llm.credential_grammar import find_secrets
 from obslake.llm.order_minhash import near_duplicates
 from obslake.llm.robust_outliers import judge
 from obslake.llm.substrings import remove_repeated_windows
-from obslake.llm.templates import find_leaks
+from obslake.llm.templates import find_copies, find_leaks
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,10 @@ def op1_template_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op1_verbatim_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_copies(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op2_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(_table(spark, sf_dir, "documents"))
 
@@ -79,6 +83,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_template_leaks": op1_template_leaks,
+    "op1_verbatim_leaks": op1_verbatim_leaks,
     "op2_robust_outliers": op2_robust_outliers,
     "op3_nbest_pieces": op3_nbest_pieces,
     "op4_slot_map": op4_slot_map,

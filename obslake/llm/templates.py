@@ -14,6 +14,11 @@ Windows with fewer than four literal tokens match too much and are not used. An
 than eight tokens, or with null text, has no window and is never reported. Documents with null or
 short texts have none either. Null ids are reported as null. Rows that agree in doc_id and text are
 reported once. Other columns are ignored.
+
+Templates miss verbatim text where a document has other capitals than the item, where an item is dense
+in slots, and where it is short. ``find_copies`` finds these: 13 consecutive tokens of an item, or all
+tokens of a shorter one, in a document, whatever the case. Windows of the lengths that the benchmark has
+meet in a join on hashes, and the tokens of each hit are compared. An item without tokens is never reported.
 """
 
 from __future__ import annotations
@@ -28,6 +33,8 @@ WINDOW = 8
 LITERALS = 4
 SHARE = 0.5
 ENOUGH = 6
+#: Consecutive tokens of a copy.
+COPIED = 13
 TOKEN = r"[0-9]+(?:[.,][0-9]+)*|\p{L}+"
 #: Units that follow a number.
 UNITS = (
@@ -146,3 +153,65 @@ def find_leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     best = judged.where("consistent").groupBy("doc_id", "item_id").agg(
         F.max(F.struct("n_windows", "exact", "item_windows")).alias("best"))
     return best.select("doc_id", "item_id", "best.n_windows", "best.item_windows", "best.exact")
+
+
+def _folded(text: Column) -> Column:
+    return tokens(F.lower(text))
+
+
+def _windows_of(length: int) -> Column:
+    """(n, pos, h) of every ``length`` consecutive ones of ``hashes``."""
+    count = F.size("hashes") - F.lit(length)
+    starts = F.when(count >= 0, F.sequence(F.lit(0), count)).otherwise(F.array().cast("array<int>"))
+    return F.transform(starts, lambda i: F.struct(
+        F.lit(length).alias("n"), i.alias("pos"),
+        F.xxhash64(F.lit(length), *[F.get("hashes", i + k) for k in range(length)]).alias("h")))
+
+
+def find_copies(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """(doc_id, item_id, n_windows, item_windows): items of which 13 tokens, or all, stand in a document.
+
+    n_windows counts the item's different windows of its longest alignment, whatever the case.
+    """
+    items = materialise(
+        benchmark.select("item_id", _folded(F.col("text")).alias("item_raw")).distinct()
+        .where(F.size("item_raw") > 0).select(
+            "item_id", "item_raw", F.xxhash64("item_raw").alias("_ik"), F.least(F.size("item_raw"), F.lit(COPIED)).alias("n"),
+            F.transform("item_raw", lambda w: F.xxhash64(w)).alias("hashes")), "benchmark-tokens")
+    lengths = sorted(r["n"] for r in items.select("n").distinct().collect())  # at most 13
+    spread = [items.where(F.col("n") == n).select("item_id", "_ik", F.inline(_windows_of(n))) for n in lengths]
+    none = items.limit(0).select("item_id", "_ik", "n", F.lit(0).alias("pos"), F.lit(0).cast("long").alias("h"))
+    for more in spread:
+        none = none.unionByName(more)
+    # of equal windows of an item the first, as above
+    wanted = none.groupBy("item_id", "_ik", "n", "h").agg(F.min("pos").alias("ipos"))
+    total = wanted.groupBy("item_id", "_ik").agg(F.count("*").alias("item_windows"))
+    w, t = wanted.alias("w"), total.alias("t")
+    wanted = materialise(w.join(t, F.col("w.item_id").eqNullSafe(F.col("t.item_id")) & (F.col("w._ik") == F.col("t._ik"))).select(
+        "w.*", "t.item_windows"), "benchmark-copies")
+    hashes = materialise(wanted.select("h").distinct(), "copy-hashes")
+
+    source = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(F.col("text").isNotNull())
+    source = source.withColumn("_tk", F.xxhash64("text"))
+    hashed = source.select("doc_id", "_tk", F.transform(_folded(F.col("text")), lambda w: F.xxhash64(w)).alias("hashes"))
+    every = F.concat(*[_windows_of(n) for n in lengths]) if lengths else F.array().cast("array<struct<n:int,pos:int,h:bigint>>")
+    hits = checked_join(hashed.select("doc_id", "_tk", F.inline(every)), hashes, "h", "left_semi", row_bytes=40)
+    hits = materialise(hits, "copy-hits")
+
+    aligned = materialise(hits.distinct().join(wanted, ["n", "h"]).groupBy(
+        "doc_id", "_tk", "item_id", "_ik", "n", (F.col("pos") - F.col("ipos")).alias("shift")).agg(
+        F.collect_list("ipos").alias("places"), F.max("item_windows").alias("item_windows")), "copy-alignments")
+    concerned = materialise(aligned.select(F.col("doc_id").alias("_d"), "_tk").distinct(), "copy-documents")
+    texts = checked_join(source, concerned, "_tk", "inner").where(
+        F.col("doc_id").eqNullSafe(F.col("_d"))).dropDuplicates(["doc_id", "_tk"]).select(
+        "doc_id", "_tk", _folded(F.col("text")).alias("raw"))
+    a, d, i = aligned.alias("a"), texts.alias("d"), items.alias("i")
+    joined = a.join(d, F.col("a.doc_id").eqNullSafe(F.col("d.doc_id")) & (F.col("a._tk") == F.col("d._tk"))).join(
+        i, F.col("a.item_id").eqNullSafe(F.col("i.item_id")) & (F.col("a._ik") == F.col("i._ik"))).select(
+        "a.*", "d.raw", "i.item_raw")
+    same = F.filter("places", lambda p: F.slice("item_raw", p + 1, F.col("n")) == F.slice(
+        "raw", p + F.col("shift") + 1, F.col("n")))
+    judged = materialise(joined, "copy-tokens").select(
+        "doc_id", "item_id", "item_windows", F.size(same).cast("long").alias("n_windows")).where("n_windows > 0")
+    best = judged.groupBy("doc_id", "item_id").agg(F.max(F.struct("n_windows", "item_windows")).alias("best"))
+    return best.select("doc_id", "item_id", "best.n_windows", "best.item_windows")
