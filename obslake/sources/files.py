@@ -18,6 +18,7 @@ from obslake.session import materialise
 
 HASHED_AT_A_TIME = 1 << 20
 SURPLUS = "_surplus"
+QUOTED = r'(^|,)"[^"]*+(?:""[^"]*+)*+"'
 BYTE_ORDER_MARK = "\ufeff"
 
 COMPANY_FIELDS = T.StructType([
@@ -48,23 +49,28 @@ def scan_articles(spark: SparkSession, path: str, multi_line: bool = True) -> Da
     raw = spark.read.schema(text.add(SURPLUS, "string")).options(
         **csv_options(multi_line), columnNameOfCorruptRecord=SURPLUS, columnPruning=False).csv(path).select(
         "*", F.col("_metadata.file_path").alias("source_file"))
-    surplus = too_many_cells(F.col(SURPLUS), len(names))
-    message = F.concat(F.lit("too many cells in "), F.col("source_file"), F.lit(": "), F.col(SURPLUS))
     cells = [
-        F.when(surplus, F.raise_error(message)).otherwise(fold_null_tokens(F.col(f"`{c}`")))
-        .alias(c.lstrip(BYTE_ORDER_MARK).strip())
-        for c in names
-    ]
+        cell.alias(c.lstrip(BYTE_ORDER_MARK).strip()) for c, cell in zip(names, checked_cells(names, F.col("source_file")))]
     return raw.select(*cells, "source_file")
 
 
+def checked_cells(names: list[str], source_file: Column) -> list[Column]:
+    """The cells of a row with "no value" spellings as ''; a row with values beyond the last one fails."""
+    surplus = too_many_cells(F.col(SURPLUS), len(names))
+    message = F.concat(F.lit("too many cells in "), source_file, F.lit(": "), F.col(SURPLUS))
+    return [F.when(surplus, F.raise_error(message)).otherwise(fold_null_tokens(F.col(f"`{c}`"))) for c in names]
+
+
 def too_many_cells(record: Column, count: int) -> Column:
     """Whether a row kept as text has a value beyond its columns; missing cells are no error."""
     wide = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(2 * count + 1)])
     cells = F.from_csv(record, wide.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " "),
                        {"quote": '"', "escape": '"', "mode": "PERMISSIVE"})
     beyond = [cells[f"c{i}"].isNotNull() for i in range(count, 2 * count + 1)]
-    return record.isNotNull() & F.array_contains(F.array(*beyond), True)
+    # cells after these, of any number: quoted ones are replaced, so that every comma left is a border
+    bare = F.split(F.regexp_replace(record, QUOTED, "$1q"), ",", -1)
+    rest = F.exists(F.slice(bare, 2 * count + 2, F.size(bare)), lambda cell: F.trim(cell) != "")
+    return record.isNotNull() & (F.array_contains(F.array(*beyond), True) | rest)
 
 
 def file_hashes(spark: SparkSession, path: str) -> DataFrame:

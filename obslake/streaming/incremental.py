@@ -14,14 +14,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from obslake.functions.text import fold_null_tokens
 from obslake.operators.lookup import lookup_join
 from obslake.operators.series import latest_observation
 from obslake.plans.silver import clean_articles
 from obslake.rules import DEFAULT_RULES, Rules
 from obslake.schemas import RAW_ARTICLES, SILVER_ARTICLES
 from obslake.session import materialise
-from obslake.sources.files import csv_options
+from obslake.sources.files import SURPLUS, checked_cells, csv_options
 
 CLEANED = T.StructType(SILVER_ARTICLES.fields + [
     T.StructField("published_date_raw", T.StringType()),
@@ -60,12 +59,20 @@ def start_ingest(
     spark: SparkSession, source: str, companies: DataFrame, root: str,
     rules: Rules = DEFAULT_RULES, multi_line: bool = True, files_per_batch: int = 1000,
 ) -> StreamingQuery:
-    """Process the files that have arrived since the last run, then stop."""
+    """Process the files that have arrived since the last run, then stop.
+
+    A row with values beyond the last column fails the run, and its batch is not written.
+    """
+    names = RAW_ARTICLES.names
+    source_file = F.col("_metadata.file_path")
+    # as in scan_articles, a row that does not have a cell per column is also kept as text
+    schema = T.StructType([*RAW_ARTICLES.fields, T.StructField(SURPLUS, T.StringType())])
     stream = (
-        spark.readStream.schema(RAW_ARTICLES).options(**csv_options(multi_line))
+        spark.readStream.schema(schema)
+        .options(**csv_options(multi_line), columnNameOfCorruptRecord=SURPLUS, columnPruning=False)
         .option("maxFilesPerTrigger", files_per_batch).csv(source)
-        .select(*[fold_null_tokens(F.col(c)).alias(c) for c in RAW_ARTICLES.names],
-                F.col("_metadata.file_path").alias("source_file"),
+        .select(*[cell.alias(c) for c, cell in zip(names, checked_cells(names, source_file))],
+                source_file.alias("source_file"),
                 F.col("_metadata.file_modification_time").alias("file_time"))
     )
     return (
