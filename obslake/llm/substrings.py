@@ -26,6 +26,7 @@ from math import ceil
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -50,6 +51,13 @@ class _Block:
     """The windows of a block of documents."""
 
     def __init__(self, table: pa.Table, window: int):
+        # Shuffled rows of a block arrive in no promised order, and the passes that read a block
+        # twice number its windows alike only if the rows are put in one order first: by id, then
+        # by text. Rows equal in both are the same document, so their order among them is moot.
+        if table.num_rows > 1:
+            table = table.take(pc.sort_indices(
+                table.select(["doc_id", "text"]),
+                sort_keys=[("doc_id", "ascending"), ("text", "ascending")], null_placement="at_end"))
         self.ids = tb.column_of(table, "doc_id")
         self.key = self.ids.fill_null(LAST).to_numpy(zero_copy_only=False)
         self.data, self.offsets = tb.utf8(table.column("text"))

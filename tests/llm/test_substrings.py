@@ -68,3 +68,35 @@ def test_texts_are_shuffled_once(documents):
     text = plan._jdf.queryExecution().executedPlan().toString()
     final = text[:text.index("Initial Plan")]
     assert final.count("FileScan") + final.count("RoundRobin") <= 2 and final.count("ReusedExchange") >= 2
+
+
+def _one_block(rows, window=13, bits=12, segment_bits=10, groups=2, order_ask=None, order_remove=None):
+    """The five passes on one block, called directly, each pass may see the rows in its own order."""
+    import pyarrow as pa
+
+    def table(order):
+        chosen = [rows[i] for i in order] if order is not None else rows
+        return pa.table({"doc_id": pa.array([d for d, _ in chosen], pa.int64()),
+                         "text": pa.array([t for _, t in chosen], pa.string())})
+
+    key = (pa.scalar(0, pa.int64()),)
+    sketch = substrings._sketch(window, bits, segment_bits)(key, table(None))
+    merged = [substrings._merge_sketches(segment_bits)((pa.scalar(p, pa.int64()),), sketch.filter(
+        pa.compute.equal(sketch.column("part"), p))) for p in sorted(set(sketch.column("part").to_pylist()))]
+    answers = pa.concat_tables(merged)
+    asked = substrings._ask(window, bits, segment_bits, groups)(key, table(order_ask), answers)
+    grouped = pa.concat_tables([substrings._group_exactly((pa.scalar(p, pa.int64()),), asked.filter(
+        pa.compute.equal(asked.column("part"), p))) for p in sorted(set(asked.column("part").to_pylist()))])
+    out = substrings._remove(window, groups, False)(key, table(order_remove), grouped)
+    return sorted(zip(*(out.column(c).to_pylist() for c in out.column_names)), key=repr)
+
+
+def test_rows_in_another_order_in_each_pass():
+    """Shuffled rows reach the passes of a block in any order; the result must not depend on it."""
+    shared = " ".join(f"s{i}" for i in range(20))
+    rows = [(i, f"own{i} words {shared} tail{i} " + " ".join(f"d{i}x{k}" for k in range(15))) for i in range(40)]
+    rows += [(7, f"again {shared} once more"), (None, shared), (41, None), (42, "")]
+    expected = brute_force(rows)
+    forward = list(range(len(rows)))
+    assert _one_block(rows, order_ask=forward, order_remove=forward[::-1]) == expected
+    assert _one_block(rows, order_ask=forward[::-1], order_remove=forward[3:] + forward[:3]) == expected
