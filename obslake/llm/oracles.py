@@ -1,5 +1,6 @@
 """The same results in DuckDB's SQL, where SQL can express them."""
 
+from obslake.llm import url_rules
 from obslake.llm.templates import TOKEN, UNITS
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -106,4 +107,5 @@ ok AS (SELECT al2.*, coalesce(ex.exact, true) AS exact FROM al2 LEFT JOIN bad US
        LEFT JOIN ex USING (doc_id, item_id, shift) WHERE bad.doc_id IS NULL)
 SELECT doc_id, item_id, n_windows, item_windows, exact FROM ok
 QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY n_windows DESC, exact DESC) = 1""",
+    "op13_url_rules": url_rules.brute_force_sql(),
 }

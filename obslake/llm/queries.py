@@ -11,6 +11,7 @@ from obslake.llm.order_minhash import near_duplicates
 from obslake.llm.robust_outliers import judge
 from obslake.llm.substrings import remove_repeated_windows
 from obslake.llm.templates import find_copies, find_leaks
+from obslake.llm.url_rules import judge_urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -81,6 +82,10 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeated_windows(_table(spark, sf_dir, "documents"), keep_text=False)
 
 
+def op13_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(_table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict", "pattern")
+
+
 QUERIES = {
     "op1_template_leaks": op1_template_leaks,
     "op1_verbatim_leaks": op1_verbatim_leaks,
@@ -94,4 +99,5 @@ QUERIES = {
     "op8_cross_parsing": op8_cross_parsing,
     "op9_legacy_archive": op9_legacy_archive,
     "op10_substring_dedup": op10_substring_dedup,
+    "op13_url_rules": op13_url_rules,
 }
