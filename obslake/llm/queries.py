@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obslake.llm import cross_parsing, legacy_archive, line_runs, nbest_pieces, slot_map
+from obslake.llm.conversation_repair import repair_conversations
 from obslake.llm.credential_grammar import find_secrets
 from obslake.llm.order_minhash import near_duplicates
 from obslake.llm.robust_outliers import judge
@@ -82,6 +83,10 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeated_windows(_table(spark, sf_dir, "documents"), keep_text=False)
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_conversations(_table(spark, sf_dir, "conversations"))
+
+
 def op13_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(_table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict", "pattern")
 
@@ -99,5 +104,6 @@ QUERIES = {
     "op8_cross_parsing": op8_cross_parsing,
     "op9_legacy_archive": op9_legacy_archive,
     "op10_substring_dedup": op10_substring_dedup,
+    "op12_conversation_repair": op12_conversation_repair,
     "op13_url_rules": op13_url_rules,
 }
