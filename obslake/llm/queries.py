@@ -9,6 +9,7 @@ from obslake.llm import cross_parsing, legacy_archive, line_runs, nbest_pieces,
 from obslake.llm.conversation_repair import repair_conversations
 from obslake.llm.credential_grammar import find_secrets
 from obslake.llm.order_minhash import near_duplicates
+from obslake.llm.periodic_runs import find_runs
 from obslake.llm.robust_outliers import judge
 from obslake.llm.substrings import remove_repeated_windows
 from obslake.llm.templates import find_copies, find_leaks
@@ -83,6 +84,10 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeated_windows(_table(spark, sf_dir, "documents"), keep_text=False)
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_runs(_table(spark, sf_dir, "documents"))
+
+
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair_conversations(_table(spark, sf_dir, "conversations"))
 
@@ -104,6 +109,7 @@ QUERIES = {
     "op8_cross_parsing": op8_cross_parsing,
     "op9_legacy_archive": op9_legacy_archive,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_periodic_runs": op11_periodic_runs,
     "op12_conversation_repair": op12_conversation_repair,
     "op13_url_rules": op13_url_rules,
 }
