@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from obslake.functions.company import lenient_boolean, lenient_long
 from obslake.functions.text import fold_null_tokens
 from obslake.operators.lookup import lookup_join
+from obslake.sources.csv_ranges import RANGE_BYTES, csv_records
 from obslake.schemas import BRONZE_COMPANIES, conform
 from obslake.session import materialise
 
@@ -35,20 +36,38 @@ def csv_options(multi_line: bool) -> dict[str, object]:
     }
 
 
-def scan_articles(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def scan_articles(
+    spark: SparkSession, path: str, multi_line: bool = True, range_bytes: int | None = RANGE_BYTES,
+) -> DataFrame:
     """All columns of a CSV file or folder as text, with "no value" spellings as ''.
 
     Column names come from the header line and are stripped; every file must have the same
     header. Missing cells at the end of a row are empty; a row with values beyond the last column
-    fails the job. With ``multi_line`` a quoted cell may hold line breaks, and each file is one task;
-    without it Spark splits large files.
+    fails the job. With ``multi_line`` a quoted cell may hold line breaks; files are then read in
+    byte ranges of ``range_bytes`` on as many tasks, cut at true record borders (``None``: each file
+    is one task of Spark's whole-file reader). Without it Spark splits large files by lines.
     """
     names = spark.read.options(**csv_options(multi_line)).csv(path).columns
     text = T.StructType([T.StructField(c, T.StringType()) for c in names])
-    # a row that does not have a cell per column is also kept as text
-    raw = spark.read.schema(text.add(SURPLUS, "string")).options(
-        **csv_options(multi_line), columnNameOfCorruptRecord=SURPLUS, columnPruning=False).csv(path).select(
-        "*", F.col("_metadata.file_path").alias("source_file"))
+    if multi_line and range_bytes:
+        ddl = ", ".join(f"`{c.replace('`', '``')}` STRING" for c in [*names, SURPLUS])
+        options = {"quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": SURPLUS}
+        records = csv_records(spark, path, range_bytes).select(
+            F.from_csv("record", ddl, options).alias("r"), "source_file", "header")
+        # every file's header names the same columns in the same order, as the whole-file reader demands
+        # (an empty name is one that Spark calls _c and its place)
+        fits = [F.coalesce(F.col("r").getField(c), F.lit("")) == F.lit("" if c == f"_c{i}" else c)
+                for i, c in enumerate(names)]
+        same = F.col(f"r.{SURPLUS}").isNull() & ~F.array_contains(F.array(*fits), False)
+        refused = F.raise_error(F.concat(F.lit("CSV header does not conform to the schema of the first file: "),
+                                         F.col("source_file")))
+        raw = records.filter(~F.col("header") | F.when(same, F.lit(False)).otherwise(refused)).select(
+            *[F.col("r").getField(c).alias(c) for c in [*names, SURPLUS]], "source_file")
+    else:
+        # a row that does not have a cell per column is also kept as text
+        raw = spark.read.schema(text.add(SURPLUS, "string")).options(
+            **csv_options(multi_line), columnNameOfCorruptRecord=SURPLUS, columnPruning=False).csv(path).select(
+            "*", F.col("_metadata.file_path").alias("source_file"))
     cells = [
         cell.alias(c.lstrip(BYTE_ORDER_MARK).strip()) for c, cell in zip(names, checked_cells(names, F.col("source_file")))]
     return raw.select(*cells, "source_file")

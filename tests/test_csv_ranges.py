@@ -1,0 +1,95 @@
+"""CSV files read in byte ranges: the same rows as the whole-file reader, at every cut."""
+
+import pyarrow as pa
+import pytest
+
+from obslake.sources import csv_ranges
+from obslake.sources.files import scan_articles
+
+TEXT = (
+    'article_id,title,company_name\n'
+    '1,"He said ""no"",\nthen\r\nleft",Café\n'
+    '\n'
+    '2,"a ""q"" b",x\n'
+    '3,"a\n\n\nb","c""\n""d"\n'
+    '4,plain,😀 ünï\n'
+    '5,"",\n'
+    '6,"ends, with quote """\n'
+)
+#: Spark's whole-file reader takes the line ending of the first line for all: each text keeps one.
+TEXTS = {"lf": TEXT, "crlf": TEXT.replace(",Café\n", ",Café\r\n").replace('\n', '\r\n').replace('\r\r\n', '\r\n')}
+
+
+def ranges_by_hand(data: bytes, size: int):
+    """Begin and end of each range's records: the window steps of record_ranges, done in Python."""
+    scanned = []
+    for lo in range(0, max(len(data), 1), size):
+        hi = min(lo + size, len(data))
+        breaks, before, total = csv_ranges._borders(data[lo:hi])
+        even = [lo + int(b) for b, n in zip(breaks, before) if n % 2 == 0]
+        odd = [lo + int(b) for b, n in zip(breaks, before) if n % 2 == 1]
+        scanned.append((lo, hi, total % 2, even[0] if even else None, odd[0] if odd else None))
+    state, cuts = 0, []
+    for lo, hi, parity, first_even, first_odd in scanned:
+        cuts.append(first_even if state == 0 else first_odd)
+        state ^= parity
+    out = []
+    for k, (lo, hi, *_ ) in enumerate(scanned):
+        begin = 0 if lo == 0 else (cuts[k] + 1 if cuts[k] is not None else None)
+        following = next((c for c in cuts[k + 1:] if c is not None), None)
+        end = following + 1 if following is not None else len(data)
+        if begin is not None and begin < end:
+            out.append((begin, end))
+    return out
+
+
+def test_every_cut_gives_the_same_records(tmp_path):
+    path = tmp_path / "a.csv"
+    path.write_bytes(TEXTS["crlf"].encode() + TEXT.encode())
+    data = path.read_bytes()
+    uri = f"file://{path}"
+
+    def records(bounds):
+        batch = pa.RecordBatch.from_pydict({
+            "source_file": [uri] * len(bounds), "begin": [b for b, _ in bounds], "end": [e for _, e in bounds],
+            "crlf": [False] * len(bounds)})
+        return [(h, r) for out in csv_ranges._records([batch])
+                for h, r in zip(out.column("header").to_pylist(), out.column("record").to_pylist())]
+
+    whole = records([(0, len(data))])
+    assert [r for h, r in whole if h] == ["article_id,title,company_name"]
+    assert len(whole) == 14
+    for size in range(1, len(data) + 2):
+        assert records(ranges_by_hand(data, size)) == whole, size
+
+
+@pytest.mark.parametrize("size", [1, 7, 40, 1 << 20])
+@pytest.mark.parametrize("ending", sorted(TEXTS))
+def test_same_rows_as_the_whole_file_reader(spark, tmp_path, size, ending):
+    (tmp_path / "in").mkdir()
+    for name in ("a.csv", "b.csv", "c.csv"):
+        (tmp_path / "in" / name).write_bytes(TEXTS[ending].encode())
+    (tmp_path / "in" / "empty.csv").write_bytes(b"article_id,title,company_name\n")
+    path = str(tmp_path / "in")
+    by_ranges = scan_articles(spark, path, True, range_bytes=size)
+    whole = scan_articles(spark, path, True, range_bytes=None)
+    assert sorted(map(tuple, by_ranges.collect())) == sorted(map(tuple, whole.collect()))
+    assert by_ranges.count() == 18
+
+
+def test_ranges_are_tasks(spark, tmp_path):
+    path = tmp_path / "big.csv"
+    rows = "".join(f'{i},"line one\nline, two ""{i}""",c{i}\n' for i in range(20_000))
+    path.write_text("article_id,title,company_name\n" + rows)
+    bounds = csv_ranges.record_ranges(spark, str(path), 64 << 10)
+    assert bounds.count() == -(-path.stat().st_size // (64 << 10))
+    got = scan_articles(spark, str(path), True, range_bytes=64 << 10)
+    assert got.count() == 20_000
+    assert got.filter("title like 'line one\nline, two \"%\"'").count() == 20_000
+
+
+def test_other_header_is_refused(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("article_id,title\n1,x\n")
+    (tmp_path / "b.csv").write_text("title,article_id\nx,1\n")
+    with pytest.raises(Exception, match="header"):
+        scan_articles(spark, str(tmp_path), True, range_bytes=5).collect()
