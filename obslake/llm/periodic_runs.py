@@ -9,12 +9,12 @@ Per document:
 1. Re-Pair in rounds: every adjacent pair of symbols that occurs twice or more becomes a rule
    (overlapping occurrences of a pair alternate), until no pair repeats. A repetitive text shrinks to
    a few symbols; a plain text keeps most words.
-2. Each distinct rule ``X -> Y Z`` is looked at once, on its expansion: a 2q-word window of a run
-   lies in some lowest rule, where it crosses the border between Y and Z, so it holds the q words on
-   one side of that border whole; hence only the pairs (border - 1, border - 1 + q) and
-   (border - q, border) need testing for each q, and the q-periodic stretch around a matching pair is
-   extended to both sides inside the expansion. Above the rules, the top-level symbols are joined
-   by a balanced tree whose nodes are treated alike.
+2. Each distinct rule ``X -> Y Z`` is looked at once, on its expansion: a window of ``max(6, 4q)``
+   words of a run lies in some lowest rule, where it crosses the border between Y and Z, so it holds
+   ``max(3, 2q)`` words on one side of that border whole; hence for each q only the two ends of the
+   pairs that such a side needs are tested, for all rules at once, and the q-periodic stretch around
+   a match is extended to both sides inside the expansion. Above the rules, the top-level symbols
+   are joined by a balanced tree whose nodes are treated alike.
 3. Each stretch found in a rule is translated to every position where the rule occurs in the
    derivation; stretches of the same period that overlap by q words or more are merged. The merged
    stretches are the maximal q-periodic stretches; one that is also periodic with a smaller period is
@@ -27,17 +27,23 @@ repeated rows give repeated results. Other columns are ignored.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import re
 import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from obslake.session import spread
+
 LEAST = 6
 TIMES = 4
+#: Hits of periods up to this have all their pairs compared at once before any extension.
+VERIFIED = 64
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 RESULT = ("doc_id long, n_words long, n_runs long, start long, length long, period long, exponent_milli long, "
           "runs_sha256 string, collapsed_sha256 string")
@@ -106,30 +112,117 @@ def _extend(w: np.ndarray, lo: int, hi: int, i: int, q: int) -> tuple[int, int]:
     return left, right + q + 1
 
 
-def _at_border(w: np.ndarray, lo: int, hi: int, border: int, most: int) -> set[tuple[int, int, int]]:
-    """(start, end, q) of the q-periodic stretches of w[lo:hi] that hold a 2q window across the border."""
+def _need(q: np.ndarray) -> np.ndarray:
+    """Least length of a run of period q."""
+    return np.maximum(LEAST, TIMES * q)
+
+
+def _at_borders(w: np.ndarray, lo: np.ndarray, hi: np.ndarray, border: np.ndarray, most: int, shared: int):
+    """(node, start, end, q) of q-periodic stretches of w[lo:hi] that hold a run-long window across the border.
+
+    A window of ``max(6, 4q)`` words across the border holds ``h = max(3, 2q)`` words on one side of it
+    whole, so the pairs from border - 1 to border + h - q - 1, or those from border - h to border - q,
+    all match; both ends of either range are tested for all nodes and periods at once, then the pairs
+    between them, and only the stretches around a hit are extended. Nodes from ``shared`` on are those of
+    the top-level tree.
+    """
+    top = np.minimum((hi - lo) // TIMES, most)
+    top[hi - lo < LEAST] = 0
+    node = np.repeat(np.arange(len(lo)), top)
+    if not len(node):
+        return []
+    q = np.arange(len(node)) - np.repeat(np.cumsum(top) - top, top) + 1
+    lo_, hi_, b = lo[node], hi[node], border[node]
+    half = np.maximum(LEAST // 2, 2 * q)
+
+    def match(j):
+        ok = (j >= lo_) & (j + q < hi_)
+        out = np.zeros(len(j), dtype=bool)
+        out[ok] = w[j[ok]] == w[j[ok] + q[ok]]
+        return out
+
+    hits, starts = [], []
+    for first, last in ((b - 1, b + half - q - 1), (b - half, b - q)):
+        hit = np.flatnonzero(match(first) & match(last))
+        small = hit[q[hit] <= VERIFIED]
+        if len(small):
+            # then every pair between the two ends, for all hits of short periods at once
+            count = last[small] - first[small] + 1
+            pairs = np.repeat(first[small], count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+            qs = np.repeat(q[small], count)
+            whole = np.logical_and.reduceat(w[pairs] == w[pairs + qs], np.cumsum(count) - count)
+            hit = np.concatenate([small[whole], hit[q[hit] > VERIFIED]])
+        hits.append(hit)
+        starts.append(first[hit])
+    hit, first = np.concatenate(hits), np.concatenate(starts)
+    scope = np.where(node[hit] >= shared, -1, node[hit])
+    order = np.lexsort((q[hit], scope))
+    # per scope (a rule, or the whole text for the top-level tree) the stretches found, smallest periods first:
+    # inside a stretch of period p the maximal stretch of any multiple of p is that same stretch
+    known: dict[tuple[int, int], tuple[list[int], list[int]]] = {}
     found = set()
-    top = min((hi - lo) // 2, most)
-    if top < 1:
-        return found
-    q = np.arange(1, top + 1)
-    for side in (border - 1, border - q):
-        i = np.broadcast_to(side, q.shape)
-        ok = (i >= lo) & (i + q < hi)
-        hit = np.zeros(len(q), dtype=bool)
-        hit[ok] = w[i[ok]] == w[i[ok] + q[ok]]
-        for k in np.flatnonzero(hit).tolist():
-            s, e = _extend(w, lo, hi, int(i[k]), k + 1)
-            if e - s >= 2 * (k + 1):
-                found.add((s - lo, e - lo, k + 1))
-    return found
+    for k, at in zip(hit[order].tolist(), first[order].tolist()):
+        n, qq = int(node[k]), int(q[k])
+        key = -1 if n >= shared else n
+        if _inside(known, key, at, qq):
+            continue
+        n_lo, n_hi = int(lo_[k]), int(hi_[k])
+        if key == -1:
+            # a node of the top-level tree has one place: its stretch may run on over the whole text
+            s, e = _extend(w, 0, len(w), at, qq)
+        else:
+            # a rule is short beside the text: compare all its pairs at once
+            miss = np.flatnonzero(w[n_lo:n_hi - qq] != w[n_lo + qq:n_hi]) + n_lo
+            cut = np.searchsorted(miss, at)
+            s = int(miss[cut - 1]) + 1 if cut else n_lo
+            e = (int(miss[cut]) if cut < len(miss) else n_hi - qq) + qq
+        starts_, ends_ = known.setdefault((key, qq), ([], []))
+        place = bisect.bisect(starts_, s)
+        starts_.insert(place, s)
+        ends_.insert(place, e)
+        if e - s >= max(LEAST, TIMES * qq):
+            found.add((n, s - n_lo, e - n_lo, qq))
+    return sorted(found)
+
+
+def _divisors(q: int) -> list[int]:
+    small = [d for d in range(1, int(q ** 0.5) + 1) if q % d == 0]
+    return small + [q // d for d in small if d * d != q]
+
+
+def _inside(known: dict, key: int, at: int, q: int) -> bool:
+    """Whether the pairs at..at+q lie in a stretch found in this scope whose period divides q."""
+    for p in _divisors(q):
+        held = known.get((key, p))
+        if held:
+            k = bisect.bisect_right(held[0], at) - 1
+            # maximal stretches of one period overlap by less than it, so only the latest one starting
+            # at or before ``at`` can hold the q + 1 words from it
+            if k >= 0 and held[1][k] > at + q:
+                return True
+    return False
+
+
+def _repeats_a_five_gram(ids: np.ndarray) -> bool:
+    """Whether some five consecutive word ids occur twice (by a 64-bit hash; a collision only costs time).
+
+    A run of period q has at least ``max(6, 4q) - q >= 5`` consecutive pairs of equal words q apart, so
+    the five words from its start recur q words later: a text without a repeated five-gram has no run.
+    """
+    if len(ids) < LEAST:
+        return False
+    with np.errstate(over="ignore"):
+        h = np.zeros(len(ids) - 4, dtype=np.uint64)
+        for k in range(5):
+            h = (h ^ ids[k:len(ids) - 4 + k].astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+    return len(np.unique(h)) < len(h)
 
 
 def runs_of(ids: np.ndarray) -> list[tuple[int, int, int]]:
     """(start, length, period) of every run of the word ids, by start, then period."""
     n = len(ids)
     most = n // TIMES
-    if most < 1:
+    if most < 1 or not _repeats_a_five_gram(ids):
         return []
     top, rules = re_pair(ids)
     base = int(ids.max()) + 1
@@ -141,38 +234,40 @@ def runs_of(ids: np.ndarray) -> list[tuple[int, int, int]]:
     # occurrences of every rule in the derivation, level by level
     at = np.concatenate([[0], np.cumsum(size[top])[:-1]]).astype(np.int64)
     sym = top.astype(np.int64)
-    where: dict[int, list[np.ndarray]] = {}
+    occ_sym, occ_at = [], []
     while len(sym):
         inner = sym >= base
         sym, at = sym[inner], at[inner]
-        order = np.argsort(sym, kind="stable")
-        s_sorted, a_sorted = sym[order], at[order]
-        cut = np.flatnonzero(np.diff(s_sorted)) + 1
-        for group_sym, group_at in zip(np.split(s_sorted, cut), np.split(a_sorted, cut)):
-            if len(group_sym):
-                where.setdefault(int(group_sym[0]), []).append(group_at)
+        occ_sym.append(sym)
+        occ_at.append(at)
         r = sym - base
         sym = np.concatenate([left[r], right[r]])
         at = np.concatenate([at, at + size[left[r]]])
-    stretches: dict[int, list[tuple[int, int]]] = {}
-
-    def keep(found, offsets):
-        for s, e, q in found:
-            stretches.setdefault(q, []).extend(zip((offsets + s).tolist(), (offsets + e).tolist()))
-
-    # each rule once, on its first expansion, then at all its places
-    for symbol, places in where.items():
-        places = np.concatenate(places)
-        lo = int(places.min())
-        keep(_at_border(ids, lo, lo + int(size[symbol]), lo + int(size[left[symbol - base]]), most), places)
-    # a balanced tree over the top-level symbols
+    occ_sym, occ_at = np.concatenate(occ_sym), np.concatenate(occ_at)
+    order = np.lexsort((occ_at, occ_sym))
+    occ_sym, occ_at = occ_sym[order], occ_at[order]
+    first_of = np.flatnonzero(np.r_[True, occ_sym[1:] != occ_sym[:-1]]) if len(occ_sym) else np.zeros(0, np.int64)
+    rule_sym = occ_sym[first_of]
+    # nodes: each rule once, on its first expansion; then a balanced tree over the top-level symbols
+    node_lo = [occ_at[first_of]]
+    node_hi = [occ_at[first_of] + size[rule_sym]]
+    node_border = [occ_at[first_of] + size[left[rule_sym - base]]]
     edges = np.concatenate([[0], np.cumsum(size[top])]).astype(np.int64)
     span = 1
     while span < len(top):
-        for k in range(0, len(top) - span, 2 * span):
-            lo, mid, hi = int(edges[k]), int(edges[k + span]), int(edges[min(k + 2 * span, len(top))])
-            keep(_at_border(ids, lo, hi, mid, most), np.array([lo]))
+        k = np.arange(0, len(top) - span, 2 * span)
+        node_lo.append(edges[k])
+        node_border.append(edges[k + span])
+        node_hi.append(edges[np.minimum(k + 2 * span, len(top))])
         span *= 2
+    lo, hi, border = (np.concatenate(x).astype(np.int64) for x in (node_lo, node_hi, node_border))
+    n_rules = len(rule_sym)
+    bounds = np.r_[first_of, len(occ_sym)]
+    stretches: dict[int, list[tuple[int, int]]] = {}
+    for node, s, e, q in _at_borders(ids, lo, hi, border, most, len(rule_sym)):
+        # a rule's stretch holds at every place of the rule in the derivation
+        places = occ_at[bounds[node]:bounds[node + 1]] if node < n_rules else lo[node:node + 1]
+        stretches.setdefault(q, []).extend(zip((places + s).tolist(), (places + e).tolist()))
     best: dict[tuple[int, int], int] = {}
     for q, spans in stretches.items():
         spans.sort()
@@ -189,11 +284,7 @@ def runs_of(ids: np.ndarray) -> list[tuple[int, int, int]]:
 
 def _one(doc_id, text: bytes | None) -> tuple:
     words = planted(doc_id, WORD.findall(text) if text is not None else [])
-    if words:
-        _, ids = np.unique(np.array(words, dtype=object), return_inverse=True)
-        ids = ids.astype(np.int64)
-    else:
-        ids = np.zeros(0, dtype=np.int64)
+    ids = pc.dictionary_encode(pa.array(words, pa.binary())).indices.to_numpy(zero_copy_only=False).astype(np.int64)
     runs = runs_of(ids)
     gone = np.zeros(len(words) + 1, dtype=np.int64)
     for s, length, q in runs:
@@ -222,4 +313,5 @@ def find_runs(documents: DataFrame) -> DataFrame:
     """doc_id, n_words, n_runs, the longest run (start, length, period, exponent_milli), runs_sha256,
     collapsed_sha256 of every row of ``documents``; see the module."""
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(_batches, RESULT)
+    # a table of few splits (one row group) would be one task: deal its rows to all cores first
+    return spread(rows).mapInArrow(_batches, RESULT)
