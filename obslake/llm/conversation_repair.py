@@ -28,7 +28,7 @@ adjacent pairs (initials not su, ua or au), the least cost, the audit and the SH
 ``role:text`` lines joined by newlines. A conversation with no rows after damage has zeros, an empty
 audit and the hash of the empty text, as has one whose every row is deleted. Very long texts are
 hashed whole; other input columns are ignored. One conversation is one unit of work: its rows go to
-one task, which holds a few dozen bytes per row besides the texts it hashes.
+one task, which holds one conversation at a time (a few dozen bytes per row besides its texts).
 """
 
 from __future__ import annotations
@@ -38,7 +38,6 @@ import heapq
 from math import inf
 
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -206,10 +205,12 @@ def _gaps(turns: list) -> int:
     return max(known) - min(known) + 1 - len(set(known)) if known else 0
 
 
-def _conversation(key, table):
-    conv_id = key[0].as_py()
-    live = table.filter(pc.invert(table.column("dropped")))
-    rows = sorted(zip(*(live.column(c).to_pylist() for c in ("turn", "role", "text"))),
+NAMES = [f.split()[0] for f in RESULT.split(", ")]
+
+
+def _one(conv_id, rows: list[tuple]) -> tuple:
+    """The result row of one conversation from its (turn, role, text, dropped) rows."""
+    rows = sorted(((t, r, x) for t, r, x, gone in rows if not gone),
                   key=lambda r: (r[0] is not None, r[0] or 0, r[1], r[2]))
     roles, texts = [r[1] for r in rows], [r[2] for r in rows]
     fault = faults(roles, texts)
@@ -221,13 +222,33 @@ def _conversation(key, table):
         line = f"{ROLES[role] if role else roles[row]}:{texts[row] if row is not None else ''}"
         digest.update(((k and "\n" or "") + line).encode())
     counts = [sum(f == kind for f in fault) for kind in ("blank", "duplicate", "truncated")]
-    values = [conv_id, _gaps([r[0] for r in rows]), *counts, illegal, cost, audit, digest.hexdigest(), len(rows)]
-    schema = pa.schema([pa.field(n, pa.string() if n in ("audit", "repaired_sha256") else pa.int64())
-                        for n in ("conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost",
-                                  "audit", "repaired_sha256", "n_rows")])
-    return pa.Table.from_pylist([dict(zip(schema.names, values))], schema=schema)
+    return (conv_id, _gaps([r[0] for r in rows]), *counts, illegal, cost, audit, digest.hexdigest(), len(rows))
+
+
+def _stream(batches):
+    """Conversations of a partition sorted by conv_id, one at a time; a conversation may span batches."""
+    schema = pa.schema([pa.field(n, pa.string() if n in ("audit", "repaired_sha256") else pa.int64()) for n in NAMES])
+    current, rows, first = None, [], True
+    for batch in batches:
+        out = []
+        columns = [batch.column(c).to_pylist() for c in ("conv_id", "turn", "role", "text", "dropped")]
+        for conv_id, *row in zip(*columns):
+            if not first and conv_id != current:
+                out.append(_one(current, rows))
+                rows = []
+            current, first = conv_id, False
+            rows.append(tuple(row))
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, schema.field(k).type) for k, c in enumerate(zip(*out))],
+                                             schema=schema)
+    if not first:
+        last = _one(current, rows)
+        yield pa.RecordBatch.from_arrays([pa.array([v], schema.field(k).type) for k, v in enumerate(last)],
+                                         schema=schema)
 
 
 def repair_conversations(conversations: DataFrame) -> DataFrame:
     """One row per original conv_id with the columns of ``RESULT``; see the module."""
-    return damaged(conversations).groupBy("conv_id").applyInArrow(_conversation, RESULT)
+    rows = damaged(conversations)
+    # every row of a conversation to one partition, in a run of its own: a task streams them one by one
+    return rows.repartition("conv_id").sortWithinPartitions("conv_id").mapInArrow(_stream, RESULT)
