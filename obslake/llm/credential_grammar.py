@@ -39,8 +39,9 @@ KEYWORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=.-]{16,}")
 SAMPLE = 300
-#: Characters of a value that a grammar is learned from and scored by.
-LONGEST = 128
+#: Characters of labelled values that a grammar of a kind is learned from at most (values are whole; the
+#: values are taken in an order of hashes while they fit). Candidates are scored whole.
+SAMPLE_CHARS = 100_000
 ALPHA = 0.05
 #: Share of the labelled values that may score below the limit.
 BELOW = 0.02
@@ -119,8 +120,8 @@ def _scan(batches):
             text = texts[i].as_py() if flag else None
             spans = base_spans(text) if text else []
             bases.append([{"start": s, "end": e, "kind": k} for s, e, k, _ in spans])
-            values.append([{"kind": k, "value": v[:LONGEST]} for _, _, k, v in spans])
-            others.append([{"start": s, "end": e, "value": v[:LONGEST]} for s, e, v in candidates(text, spans)]
+            values.append([{"kind": k, "value": v} for _, _, k, v in spans])
+            others.append([{"start": s, "end": e, "value": v} for s, e, v in candidates(text, spans)]
                           if text else [])
         yield pa.RecordBatch.from_arrays([
             tb.column_of(batch, "doc_id"), pa.array(bases, pa.list_(_BASE)),
@@ -224,14 +225,17 @@ class Grammar:
         return (total + math.log2(self.ended[state] / self._count(state))) / (len(string) + 1)
 
 
-def infer(scanned: DataFrame, sample: int = SAMPLE) -> dict[str, Grammar]:
-    """A grammar per kind, from the first ``sample`` distinct labelled values in an order of hashes."""
+def infer(scanned: DataFrame, sample: int = SAMPLE, chars: int = SAMPLE_CHARS) -> dict[str, Grammar]:
+    """A grammar per kind, from the first ``sample`` distinct labelled values in an order of hashes, whole,
+    as far as they fit in ``chars`` characters."""
     labelled = scanned.select(F.explode("labelled").alias("v")).select("v.kind", "v.value").distinct()
     order = Window.partitionBy("kind").orderBy(F.xxhash64("value"), "value")
     rows = labelled.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= sample).collect()
-    strings = defaultdict(list)
+    strings, used = defaultdict(list), defaultdict(int)
     for row in sorted(rows, key=lambda r: (r["kind"], r["_n"])):
-        strings[row["kind"]].append(row["value"])
+        if used[row["kind"]] + len(row["value"]) <= chars:
+            strings[row["kind"]].append(row["value"])
+            used[row["kind"]] += len(row["value"])
     return {kind: Grammar(values) for kind, values in strings.items()}
 
 

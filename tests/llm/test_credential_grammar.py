@@ -104,3 +104,22 @@ def test_sample_is_the_same_whatever_the_layout(spark, documents):
     two = cg.find_secrets(documents.repartition(5))
     assert sorted(map(tuple, one.collect())) == sorted(map(tuple, two.collect()))
     assert np.sum([r["n_hex"] for r in one.collect()]) > 0
+
+
+def test_values_are_scored_whole():
+    """A candidate whose first 128 characters fit and whose end does not is judged by its whole length."""
+    import pyarrow as pa
+
+    from obslake.llm import credential_grammar as cg
+
+    long_value = "Ab1" * 60 + "-x_y.z/" * 10
+    text = f"password = {long_value} and then AKIA{'B' * 150} and {'q1W2' * 50}"
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1], "text": [text]})
+    out = next(cg._scan(iter([batch])))
+    labelled = out.column("labelled").to_pylist()[0]
+    others = out.column("candidates").to_pylist()[0]
+    assert {v["kind"]: len(v["value"]) for v in labelled} == {"assign": len(long_value), "access": 154}
+    assert [len(c["value"]) for c in others] == [200]
+    grammar = cg.Grammar(["Ab1" * k for k in range(5, 60)])
+    assert grammar.score("Ab1" * 60) > -float("inf")
+    assert grammar.score("Ab1" * 60 + "zz") == -float("inf")
