@@ -14,6 +14,8 @@ from obslake.functions.company import lenient_boolean, lenient_long
 from obslake.functions.text import fold_null_tokens
 from obslake.operators.lookup import lookup_join
 from obslake.sources.csv_ranges import RANGE_BYTES, csv_records
+from obslake.sources.json_ranges import RANGE_BYTES as JSON_RANGE_BYTES
+from obslake.sources.json_ranges import object_entries
 from obslake.schemas import BRONZE_COMPANIES, conform
 from obslake.session import materialise
 
@@ -123,22 +125,18 @@ def with_provenance(rows: DataFrame, path: str) -> DataFrame:
         "source_file", "source_hash", F.current_timestamp().alias("ingested_at"))
 
 
-def scan_companies(spark: SparkSession, path: str) -> DataFrame:
+def scan_companies(spark: SparkSession, path: str, range_bytes: int = JSON_RANGE_BYTES) -> DataFrame:
     """One row per key of a JSON object of objects; missing or unreadable fields are NULL.
 
-    A JSON object cannot be split, so each file is one task. Larger master data comes as a folder
-    of such files. Of entries with the same key the last one counts: within a file by position,
-    across files by the file's name. A file that is no JSON object fails the job.
+    A file is read in byte ranges of ``range_bytes`` on as many tasks, cut between the entries of its
+    object; larger master data may also come as a folder of such files. Of entries with the same key
+    the last one counts: within a file by position, across files by the file's name. A file that is
+    no JSON object fails the job.
     """
-    text = spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("source_file"))
-    # the object first, then each entry by itself, so that one bad entry leaves its neighbours alone
-    entries = F.from_json("value", T.MapType(T.StringType(), T.StringType()))
-    broken = F.raise_error(F.concat(F.lit("not a JSON object: "), F.col("source_file")))
-    rows = text.select("source_file", F.posexplode(
-        F.map_entries(F.when(entries.isNull(), broken).otherwise(entries))).alias("pos", "entry"))
-    parsed = rows.select(
-        F.col("entry.key").alias("company_name"), "source_file", "pos",
-        F.from_json("entry.value", COMPANY_FIELDS).alias("f"))
+    entries = object_entries(spark, path, range_bytes)
+    # each entry by itself, so that one bad entry leaves its neighbours alone
+    parsed = entries.select(
+        F.col("key").alias("company_name"), "source_file", "pos", F.from_json("value", COMPANY_FIELDS).alias("f"))
     last = parsed.groupBy("company_name").agg(
         F.max_by(F.struct("f", "source_file"), F.struct("source_file", "pos")).alias("e"))
     return last.select(
