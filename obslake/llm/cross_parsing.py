@@ -138,24 +138,33 @@ class Model:
         return out
 
 
-def fit(labelled: DataFrame) -> Model:
-    """Model from (doc_id, text, lang): per language the first documents in an order of hashes.
-
-    The ids are chosen first, without reading any text; only bounded samples reach the driver.
+def fit(labelled: DataFrame, documents: int = SAMPLE_DOCUMENTS, characters: int = SAMPLE_CHARACTERS,
+        of_one: int = SAMPLE_OF_ONE) -> Model:
+    """Model from (doc_id, text, lang): per language the first ``documents`` distinct ids in an order of
+    hashes, ``of_one`` letters of each, ``characters`` in all.
+
+    The ids are chosen first, without reading any text; a repeated id counts once, by the least of its
+    pieces. The piece of a document is a window of ``2 * of_one`` characters of its letters (other
+    characters as single spaces) at an offset that the hash of its id picks anywhere in the whole
+    text, of which ``of_one`` symbols are kept. Only bounded samples reach the driver.
     """
     keyed = labelled.where(F.col("lang").isNotNull())
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = keyed.select("lang", "doc_id").withColumn("_n", F.row_number().over(order)).where(
-        F.col("_n") <= SAMPLE_DOCUMENTS).select("lang", "doc_id", F.col("_n").alias("n"))
-    start = F.substring(F.coalesce("text", F.lit("")), 1, 4 * SAMPLE_OF_ONE)
-    rows = keyed.select("lang", "doc_id", start.alias("text")).join(
-        F.broadcast(chosen), ["lang", "doc_id"]).collect()
+    chosen = keyed.select("lang", "doc_id").distinct().withColumn("_n", F.row_number().over(order)).where(
+        F.col("_n") <= documents).select("lang", "doc_id", F.col("_n").alias("n"))
+    # only the chosen rows are read: letters with single spaces between runs, a window of them anywhere
+    letters = F.regexp_replace(F.coalesce("text", F.lit("")), r"[^\p{L}]+", " ")
+    width = 2 * of_one
+    offset = F.pmod(F.xxhash64("doc_id"), F.greatest(F.length("_letters") - width, F.lit(0)) + 1)
+    rows = keyed.join(F.broadcast(chosen), ["lang", "doc_id"]).select("lang", "doc_id", "n", letters.alias("_letters"))
+    rows = rows.select("lang", "doc_id", "n", F.substring("_letters", (offset + 1).cast("int"), width).alias("text"))
+    rows = rows.groupBy("lang", "doc_id", "n").agg(F.min("text").alias("text")).collect()
     samples: dict[str, list] = {}
-    for row in sorted(rows, key=lambda r: (r["lang"], r["n"], r["text"])):
+    for row in sorted(rows, key=lambda r: (r["lang"], r["n"])):
         held = samples.setdefault(row["lang"], [])
-        if sum(map(len, held)) < SAMPLE_CHARACTERS:
-            held.append(np.append(symbols(row["text"])[:SAMPLE_OF_ONE], np.uint32(32)))
-    return Model({lang: np.concatenate(held)[:SAMPLE_CHARACTERS] for lang, held in samples.items()
+        if sum(map(len, held)) < characters:
+            held.append(np.append(symbols(row["text"])[:of_one], np.uint32(32)))
+    return Model({lang: np.concatenate(held)[:characters] for lang, held in samples.items()
                   if any(len(h) > 1 for h in held)})
 
 

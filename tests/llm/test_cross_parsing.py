@@ -85,3 +85,17 @@ def test_long_texts_are_read_whole(length):
     text = model.encode(np.array([ord("b")] * (length - 1) + [ord("a")], dtype=np.uint32))
     a, b = model.phrases([text])[0]
     assert a > b and a >= length - 1
+
+
+def test_samples_come_from_anywhere_in_a_document_and_once_per_id(spark):
+    from obslake.llm import cross_parsing as cp
+
+    head = "#1 " * 3000
+    rows = [(1, head + "aaaa bbbb " * 300, "xx"), (2, "cccc dddd " * 300, "yy")] + [(3, "eeee ffff " * 50, "yy")] * 500
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = cp.fit(df, documents=10, characters=5_000, of_one=200)
+    assert sorted(model.languages) == ["xx", "yy"]
+    # the language whose letters follow 9,000 characters without any still has a sample, and
+    # the id repeated 500 times gives one piece
+    assert cp.identify(spark.createDataFrame([(9, "aaaa bbbb aaaa", "zz")], "doc_id long, text string, lang string")
+                       .unionByName(df)).where("doc_id = 9").first()["_lang_pred"] == "xx"
