@@ -71,7 +71,9 @@ def kmers_of(hashes: np.ndarray, text: np.ndarray, size: int = SHINGLE) -> tuple
     if short.any():
         made = []
         for start, n in zip(first[short].tolist(), count[short].tolist()):
-            made.append(tb.window_hashes(hashes[start:start + n], n)[0])
+            # the length is mixed in: texts of one word hash and of two such words differ
+            with np.errstate(over="ignore"):
+                made.append(tb.window_hashes(hashes[start:start + n], n)[0] + np.uint64(n) * np.uint64(0x9E3779B97F4A7C15))
         kmers, of = np.append(kmers, np.array(made, dtype=np.uint64)), np.append(of, texts[short])
         order = np.argsort(of, kind="stable")
         kmers, of = kmers[order], of[order]
