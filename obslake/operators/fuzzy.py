@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from obslake.operators.lookup import BROADCAST_LIMIT, measured_bytes
+from obslake.operators.lookup import measured_bytes
 from obslake.session import materialise
 
 SPACES = r"(?U)[\s\x1c-\x1f]+"
@@ -26,6 +26,8 @@ SPACES = r"(?U)[\s\x1c-\x1f]+"
 LOWEST_THRESHOLD = 67.0
 NAMES_PER_TASK = 50_000
 SALTS = 16
+# canonical pieces up to this measured size are broadcast; the driver holds them several times over
+BROADCAST_LIMIT = 16 * 1024 * 1024
 # below this many pairs one pass is cheaper than several
 FEW_PAIRS = 1_000_000
 FIRST_THRESHOLDS = (94.0,)
@@ -119,7 +121,10 @@ def _canonical_pieces(canonicals: DataFrame, threshold: float, many: bool) -> Da
         "rare-pieces")
 
 
-def _name_pieces(names: DataFrame, threshold: float, many: bool) -> DataFrame:
+def _name_pieces(
+    names: DataFrame, threshold: float, many: bool, lengths: DataFrame | None = None
+) -> DataFrame:
+    """Every piece of a name that a canonical name may share; ``lengths`` are those that one has."""
     la, lb, allowed, piece = (F.col(c) for c in ("la", "lb", "allowed", "piece"))
     pieces = _pieces(allowed, lb, many)
     start, size = _piece_start(lb, pieces, piece), _piece_length(lb, pieces, piece)
@@ -127,13 +132,17 @@ def _name_pieces(names: DataFrame, threshold: float, many: bool) -> DataFrame:
     inserted = F.floor((allowed + (la - lb)) / 2).cast("int")
     first = F.greatest(F.lit(0), start - deleted)
     last = F.least(la - size, start + inserted)
-    return (
+    sized = (
         names.select("name", sorted_tokens(F.col("name")).alias("a"))
         .withColumn("la", F.length("a"))
         .withColumn("lb", F.explode(F.sequence(_shortest(la, threshold), F.greatest(
             _shortest(la, threshold), _longest(la, threshold)))))
         .withColumn("allowed", _allowed(la, lb, threshold))
-        .withColumn("piece", F.explode(F.sequence(F.lit(0), pieces - 1)))
+    )
+    if lengths is not None:
+        sized = sized.join(F.broadcast(lengths), ["lb", "allowed"], "left_semi")
+    return (
+        sized.withColumn("piece", F.explode(F.sequence(F.lit(0), pieces - 1)))
         .withColumn("from", F.explode(F.when(first <= last, F.sequence(first, last))))
         .select("name", "a", "lb", "allowed", "piece",
                 F.substring("a", F.col("from") + 1, size).alias("piece_text"))
@@ -147,18 +156,21 @@ def _candidates(
 
     Canonical pieces that are measured to fit are broadcast, and the names stay where they are.
     Beyond that both sides are shuffled; names are distinct, so a salt taken from the name spreads
-    a piece that many of them share evenly over the tasks.
+    a piece that many of them share evenly over the tasks. The join is told to shuffle: Spark takes
+    the pieces of the names for as small as the names and would broadcast all of them.
     """
     # a name turns into hundreds of keys, so tasks are sized by names and not by their few bytes
     tasks = max(names.sparkSession.sparkContext.defaultParallelism, ceil(count / NAMES_PER_TASK))
-    left = _name_pieces(names.repartition(tasks, "name"), threshold, many)
     right = _canonical_pieces(canonicals, threshold, many)
+    # a pair of numbers per length that occurs, however many names there are
+    lengths = right.select("lb", "allowed").distinct() if many else None
+    left = _name_pieces(names.repartition(tasks, "name"), threshold, many, lengths)
     keys = list(KEYS)
     if measured_bytes(right) <= BROADCAST_LIMIT:
         right = F.broadcast(right)
     else:
         left = left.withColumn("salt", F.pmod(F.xxhash64("name"), F.lit(SALTS)).cast("int"))
-        right = right.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        right = right.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).hint("merge")
         keys.append("salt")
     same = [F.col(f"l.{c}") == F.col(f"r.{c}") for c in keys]
     near = F.expr("levenshtein(l.a, r.b, l.allowed) >= 0")

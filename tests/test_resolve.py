@@ -7,6 +7,7 @@ import pytest
 from obslake.operators import fuzzy
 from obslake.operators.fuzzy import best_fuzzy_match, indel_ratio
 from obslake.operators.resolve import resolve_names, with_company
+from obslake.session import materialise
 from tests.companies import COMPANY_NAMES
 
 # Written text -> expected result.
@@ -139,3 +140,15 @@ def test_broadcast_fuzzy_join_moves_only_the_names(spark):
     assert plan.count("Exchange hashpartitioning") <= 2  # the names, and one best row per name
     assert plan.count("indel_ratio_udf") == 1
     assert "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def test_pieces_beyond_the_limit_are_never_broadcast(spark, monkeypatch):
+    """A name of a few bytes turns into hundreds of pieces, which Spark's estimate does not see."""
+    monkeypatch.setattr(fuzzy, "BROADCAST_LIMIT", 0)
+    names = materialise(spark.createDataFrame([(f"Customer{i:09d}",) for i in range(50)], "name string"), "names")
+    canonicals = spark.createDataFrame([(f"Customer#{i:09d}",) for i in range(50)], "canonical string")
+    pairs = fuzzy._candidates(names, 50, canonicals, 88.0, many=True)
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") == 1
+    joins = [line for line in plan.splitlines() if "BroadcastHashJoin" in line]
+    assert len(joins) == 1 and "LeftSemi" in joins[0]  # only the lengths that occur
