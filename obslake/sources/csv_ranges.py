@@ -10,7 +10,8 @@ byte is the parity of the quotes before it. So:
    state, hence its first true record border. A range without one lies inside a record.
 3. Each range parses the records that begin after its first border and end at the next range's first
    border (or the file's end), so every record is read by exactly one task, and a record longer than a
-   range is read whole by the range it begins in. The first record of a file is marked as its header.
+   range is read whole by the range it begins in. Either step goes through its range in blocks of
+   ``BLOCK_BYTES``, so a task's memory follows neither the range nor the file. The first record of a file is marked as its header.
 
 Records are parsed by Spark's own CSV parser (``from_csv``) with the options of the whole-file reader.
 Empty records (blank lines) are skipped as that reader does; a trailing carriage return is dropped.
@@ -29,6 +30,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 RANGE_BYTES = 64 << 20
+# a task holds one block of its range and the record that is open at the block's end
+BLOCK_BYTES = 4 << 20
 QUOTE, BREAK = 0x22, 0x0A
 RECORDS_AT_A_TIME = 10_000
 SCANNED = "source_file string, lo long, hi long, parity int, first_even long, first_odd long, crlf boolean"
@@ -48,39 +51,65 @@ def _borders(data: bytes) -> tuple[np.ndarray, np.ndarray, int]:
     return breaks, np.searchsorted(quotes, breaks), len(quotes)
 
 
+def _blocks(handle, begin: int, end: int):
+    """The bytes from begin to end, a block at a time."""
+    while begin < end and (data := handle.read_at(min(BLOCK_BYTES, end - begin), begin)):
+        yield data
+        begin += len(data)
+
+
+def _first_line_crlf(handle) -> bool:
+    """Whether the file's first line, which may end in any later range, ends in CR LF."""
+    last = 0
+    for data in _blocks(handle, 0, handle.size()):
+        found = data.find(b"\n")
+        if found >= 0:
+            return (data[found - 1] if found else last) == 0x0D
+        last = data[-1]
+    return False
+
+
 def _scan(batches):
     for batch in batches:
         out = {k: [] for k in ("source_file", "lo", "hi", "parity", "first_even", "first_odd", "crlf")}
         for uri, lo, hi in zip(*(batch.column(c).to_pylist() for c in ("source_file", "lo", "hi"))):
+            total, at, first = 0, lo, [None, None]
             with _open(uri) as handle:
-                data = handle.read_at(hi - lo, lo)
-                breaks, before, total = _borders(data)
-                if lo == 0 and len(breaks) == 0 and hi > 0:
-                    # the line ending of the file is that of its first line, which may end in a later range
-                    crlf, at, size = False, hi, handle.size()
-                    while at < size:
-                        more = handle.read_at(hi - lo, at)
-                        found = more.find(b"\n")
-                        if found >= 0:
-                            crlf = (more[found - 1] if found else data[-1]) == 0x0D
-                            break
-                        data, at = more, at + len(more)
-                else:
-                    crlf = lo == 0 and len(breaks) > 0 and breaks[0] > 0 and data[breaks[0] - 1] == 0x0D
-            odd = before % 2 == 1
-            even_at, odd_at = np.flatnonzero(~odd), np.flatnonzero(odd)
+                for data in _blocks(handle, lo, hi):
+                    breaks, before, quotes = _borders(data)
+                    for odd in (0, 1):
+                        if first[odd] is None:
+                            found = np.flatnonzero((before + total) % 2 == odd)
+                            first[odd] = at + int(breaks[found[0]]) if len(found) else None
+                    total, at = total + quotes, at + len(data)
+                crlf = lo == 0 and _first_line_crlf(handle)
             out["source_file"].append(uri)
             out["lo"].append(lo)
             out["hi"].append(hi)
             out["parity"].append(total % 2)
-            out["first_even"].append(lo + int(breaks[even_at[0]]) if len(even_at) else None)
-            out["first_odd"].append(lo + int(breaks[odd_at[0]]) if len(odd_at) else None)
-            out["crlf"].append(bool(crlf))
+            out["first_even"].append(first[0])
+            out["first_odd"].append(first[1])
+            out["crlf"].append(crlf)
         yield pa.RecordBatch.from_pydict(out, schema=pa.schema([
             ("source_file", pa.string()), ("lo", pa.int64()), ("hi", pa.int64()), ("parity", pa.int32()),
             ("first_even", pa.int64()), ("first_odd", pa.int64()), ("crlf", pa.bool_())]))
 
 
+def _pieces(handle, begin: int, end: int):
+    """The bytes between the true borders from begin, which is outside quotes, to end."""
+    total, kept = 0, []
+    for data in _blocks(handle, begin, end):
+        breaks, before, quotes = _borders(data)
+        start = 0
+        for cut in breaks[(before + total) % 2 == 0].tolist():
+            kept.append(data[start:cut])
+            yield b"".join(kept)
+            start, kept = cut + 1, []
+        kept.append(data[start:])
+        total += quotes
+    yield b"".join(kept)
+
+
 def _records(batches):
     schema = pa.schema([("source_file", pa.string()), ("begin", pa.int64()), ("header", pa.bool_()),
                         ("record", pa.string())])
@@ -95,22 +124,17 @@ def _records(batches):
         columns = ("source_file", "begin", "end", "crlf")
         for uri, begin, end, crlf in zip(*(batch.column(c).to_pylist() for c in columns)):
             with _open(uri) as handle:
-                data = handle.read_at(end - begin, begin)
-            breaks, before, _ = _borders(data)
-            # the piece starts outside quotes: borders are the line breaks after an even count
-            cuts = breaks[before % 2 == 0]
-            starts = np.concatenate([[0], cuts + 1]).tolist()
-            stops = np.concatenate([cuts, [len(data)]]).tolist()
-            texts, first = [], begin == 0
-            for s, e in zip(starts, stops):
-                if e > s and data[e - 1] == 0x0D:
-                    e -= 1
-                if e > s:
-                    piece = data[s:e].replace(b"\r\n", b"\n") if crlf else data[s:e]
-                    texts.append(piece.decode("utf-8", errors="replace"))
-                if len(texts) >= RECORDS_AT_A_TIME:
-                    yield batch_of(uri, begin, texts, first)
-                    texts, first = [], False
+                texts, held, first = [], 0, begin == 0
+                for piece in _pieces(handle, begin, end):
+                    if piece.endswith(b"\r"):
+                        piece = piece[:-1]
+                    if piece:
+                        piece = piece.replace(b"\r\n", b"\n") if crlf else piece
+                        texts.append(piece.decode("utf-8", errors="replace"))
+                        held += len(piece)
+                    if len(texts) >= RECORDS_AT_A_TIME or held >= BLOCK_BYTES:
+                        yield batch_of(uri, begin, texts, first)
+                        texts, held, first = [], 0, False
             if texts:
                 yield batch_of(uri, begin, texts, first)
 

@@ -1,5 +1,7 @@
 """CSV files read in byte ranges: the same rows as the whole-file reader, at every cut."""
 
+import tracemalloc
+
 import pyarrow as pa
 import pytest
 
@@ -63,6 +65,41 @@ def test_every_cut_gives_the_same_records(tmp_path):
         assert records(ranges_by_hand(data, size)) == whole, size
 
 
+def test_every_block_size_gives_the_same_scan_and_records(tmp_path, monkeypatch):
+    for ending, text in TEXTS.items():
+        path = tmp_path / f"{ending}.csv"
+        path.write_bytes(text.encode())
+        bounds = {"source_file": [f"file://{path}"], "lo": [0], "hi": [path.stat().st_size],
+                  "begin": [0], "end": [path.stat().st_size], "crlf": [ending == "crlf"]}
+        batch = pa.RecordBatch.from_pydict(bounds)
+
+        def results():
+            records = [r for out in csv_ranges._records([batch]) for r in out.select(["header", "record"]).to_pylist()]
+            return [out.to_pylist() for out in csv_ranges._scan([batch])], records
+
+        whole = results()
+        assert whole[0][0][0]["crlf"] == (ending == "crlf")
+        for size in range(1, 60):
+            monkeypatch.setattr(csv_ranges, "BLOCK_BYTES", size, raising=False)
+            assert results() == whole, size
+        monkeypatch.undo()
+
+
+def test_memory_follows_the_block_and_not_the_range(tmp_path, monkeypatch):
+    monkeypatch.setattr(csv_ranges, "BLOCK_BYTES", 64 << 10, raising=False)
+    path = tmp_path / "big.csv"
+    path.write_text("a,b\n" + "".join(f'{i},"line ""one""\n{i}"\n' for i in range(300_000)))
+    size = path.stat().st_size
+    batch = pa.RecordBatch.from_pydict({
+        "source_file": [f"file://{path}"], "lo": [0], "hi": [size], "begin": [0], "end": [size], "crlf": [False]})
+    for step in (csv_ranges._scan, csv_ranges._records):
+        tracemalloc.start()
+        assert sum(out.num_rows for out in step([batch])) in (1, 300_001)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < size / 2, step
+
+
 @pytest.mark.parametrize("size", [1, 7, 40, 1 << 20])
 @pytest.mark.parametrize("ending", sorted(TEXTS))
 def test_same_rows_as_the_whole_file_reader(spark, tmp_path, size, ending):
