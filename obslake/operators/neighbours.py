@@ -26,44 +26,60 @@ from obslake.operators.encode import unit_rows
 from obslake.operators.lookup import lookup_join
 from obslake.session import materialise
 
-# a cell of the grid holds two blocks; at 384 dimensions a block is 25 MB, or 50 MB in doubles
+# a cell of the grid holds two blocks; at 384 dimensions a block is 25 MB
 BLOCK_ROWS = 16_384
+# a tile of scores is 4 MB; only the vectors of a tile are held in doubles
 ROWS_AT_ONCE = 256
+OTHERS_AT_ONCE = 2_048
 # smaller blocks are not worth a task of their own
 SMALLEST_BLOCK = 256
 # scores closer than this are equal, so copies tie whatever order the sums were taken in
 DECIMALS = 12
 
 
-def _unit_rows(vectors: pa.ChunkedArray) -> np.ndarray:
+def _matrix(vectors: pa.ChunkedArray) -> np.ndarray:
     flat = vectors.combine_chunks().flatten().to_numpy(zero_copy_only=False)
-    return unit_rows(flat.reshape(len(vectors), -1))
-
-
-def _best(rows: np.ndarray, others: np.ndarray, k: int, same_block: bool, ids: np.ndarray):
-    """(row, other, score) index triples of the k best others per row; ties by position."""
-    found = []
-    keep = min(k, len(others))
-    for start in range(0, len(rows), ROWS_AT_ONCE):
-        scores = np.round(rows[start:start + ROWS_AT_ONCE] @ others.T, DECIMALS)
-        if same_block:
-            scores[ids[start:start + ROWS_AT_ONCE, None] == ids[None, :]] = -np.inf
-        limit = np.partition(scores, len(others) - keep, axis=1)[:, len(others) - keep]
-        row, other = np.nonzero((scores >= limit[:, None]) & np.isfinite(scores))
-        score = scores[row, other]
-        order = np.lexsort((other, -score, row))
-        row, other, score = row[order], other[order], score[order]
-        first = np.searchsorted(row, row, side="left")
-        top = np.arange(len(row)) - first < k
-        found.append((row[top] + start, other[top], score[top]))
-    return tuple(np.concatenate(part) for part in zip(*found))
+    return flat.reshape(len(vectors), -1)
+
+
+def _leading(row: np.ndarray, other: np.ndarray, score: np.ndarray, k: int):
+    """The k best triples of each row, ties by position."""
+    order = np.lexsort((other, -score, row))
+    row, other, score = row[order], other[order], score[order]
+    top = np.arange(len(row)) - np.searchsorted(row, row, side="left") < k
+    return row[top], other[top], score[top]
+
+
+def _best(vectors: np.ndarray, mine: np.ndarray, others: np.ndarray, k: int, codes: np.ndarray | None):
+    """(row, other, score) triples of the k best others per row, as positions in ``vectors``.
+
+    Rows are scaled and scored a tile at a time, and k triples per row are kept, so the work arrays are
+    as large as a tile, whatever the block. ``codes`` tells ids that are their own neighbours.
+    """
+    best = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+    for left in range(0, len(others), OTHERS_AT_ONCE):
+        theirs = others[left:left + OTHERS_AT_ONCE]
+        tile = unit_rows(vectors[theirs]).T
+        keep = min(k, len(theirs))
+        found = [best]
+        for start in range(0, len(mine), ROWS_AT_ONCE):
+            rows = mine[start:start + ROWS_AT_ONCE]
+            scores = unit_rows(vectors[rows]) @ tile
+            np.round(scores, DECIMALS, out=scores)
+            if codes is not None:
+                scores[codes[rows, None] == codes[None, theirs]] = -np.inf
+            limit = np.partition(scores, len(theirs) - keep, axis=1)[:, len(theirs) - keep]
+            row, other = np.nonzero((scores >= limit[:, None]) & np.isfinite(scores))
+            found.append(_leading(rows[row], theirs[other], scores[row, other], k))
+        best = _leading(*(np.concatenate(part) for part in zip(*found)), k)
+    return best
 
 
 def _grid_cell(k: int):
     def best_in_cell(key: tuple, table: pa.Table) -> pa.Table:
         low, high = (scalar.as_py() for scalar in key[-2:])
         table = table.sort_by("id")  # positions then order like ids, which settles ties
-        ids, matrix = table["id"].combine_chunks(), _unit_rows(table["vector"])
+        ids, vectors = table["id"].combine_chunks(), _matrix(table["vector"])
         block = table["block"].to_numpy()
         codes = ids.dictionary_encode().indices.to_numpy()
         left, right = np.flatnonzero(block == low), np.flatnonzero(block == high)
@@ -71,11 +87,10 @@ def _grid_cell(k: int):
         parts = []
         for mine, others in directions:
             if len(mine) and len(others):
-                row, other, score = _best(
-                    matrix[mine], matrix[others], k, low == high, codes[mine])
+                row, other, score = _best(vectors, mine, others, k, codes if low == high else None)
                 parts.append(pa.table({
-                    "id": ids.take(pa.array(mine[row])),
-                    "neighbour": ids.take(pa.array(others[other])),
+                    "id": ids.take(pa.array(row)),
+                    "neighbour": ids.take(pa.array(other)),
                     "score": score,
                 }))
         if not parts:

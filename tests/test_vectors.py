@@ -1,10 +1,14 @@
 """Similarity, search, neighbours and encoding against NumPy."""
 
+import tracemalloc
+
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from obslake.functions.vectors import cosine, from_json, literal, norm, to_json
+from obslake.operators import neighbours
 from obslake.operators.encode import LexicalEncoder, article_text, encode_text
 from obslake.operators.neighbours import approximate_neighbours, as_lists, top_neighbours
 from obslake.operators.search import article_filter, encode_query, find_similar, hybrid_search
@@ -74,6 +78,36 @@ def test_neighbours_among_many_copies(spark):
     assert rows_of(top_neighbours(frame(spark, m), block_rows=25)) == brute_force(m, 3)
 
 
+@pytest.mark.parametrize("rows_at_once,others_at_once", [(1, 1), (7, 3), (64, 50)])
+def test_tiles_of_any_size_find_the_same(monkeypatch, rows_at_once, others_at_once):
+    """The best of a cell straight from its tiles: copies tie by position, no row is its own neighbour."""
+    monkeypatch.setattr(neighbours, "ROWS_AT_ONCE", rows_at_once)
+    monkeypatch.setattr(neighbours, "OTHERS_AT_ONCE", others_at_once, raising=False)
+    m = unit(np.random.default_rng(8), 120, 8)
+    m[40:80] = m[40]
+    ids = pa.array([f"a{i:04d}" for i in range(len(m))])
+    table = pa.table({"id": ids, "vector": pa.array(list(m), pa.list_(pa.float32())), "block": [0] * len(m)})
+    found = neighbours._grid_cell(3)((pa.scalar(0), pa.scalar(0)), table).to_pandas()
+    found = found.sort_values(["id", "score", "neighbour"], ascending=[True, False, True])
+    found["rank"] = found.groupby("id").cumcount() + 1
+    assert set(zip(found["id"], found["rank"], found["neighbour"], found["score"].round(6))) == brute_force(m, 3)
+
+
+@pytest.mark.parametrize("copies", [False, True])
+def test_memory_of_a_cell_does_not_follow_the_block(copies):
+    m = unit(np.random.default_rng(9), 8_000, 4)
+    if copies:
+        m[:] = m[0]
+    table = pa.table({"id": range(len(m)), "vector": pa.array(list(m), pa.list_(pa.float32())),
+                      "block": np.arange(len(m)) % 2})
+    tracemalloc.start()
+    found = neighbours._grid_cell(3)((pa.scalar(0), pa.scalar(1)), table)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found.num_rows == 3 * len(m)
+    assert peak < (60 << 20 if copies else 20 << 20)
+
+
 def test_few_rows_have_few_neighbours(spark):
     m = unit(np.random.default_rng(4), 3, 4)
     assert rows_of(top_neighbours(frame(spark, m))) == brute_force(m, 3)
