@@ -16,6 +16,8 @@ from obslake.functions.text import strip
 from obslake.functions.vectors import SMALLEST_NORM
 
 DIMENSION = 384
+# texts that are decoded and encoded together, however large the batches are that Spark hands over
+TEXTS_AT_ONCE = 64
 Encoder = Callable[[list[str]], np.ndarray]
 
 
@@ -39,7 +41,7 @@ class LexicalEncoder:
     """
 
     words = re.compile(r"[^\W_]+")
-    remembered_words = 1_000_000
+    remembered_words = 50_000
 
     def __init__(self, dimension: int = DIMENSION):
         self.dimension = dimension
@@ -68,18 +70,21 @@ def encode_text(
 ) -> DataFrame:
     """(id, embedding) of every row, in vectors of length one.
 
-    The factory runs once per task, on the executor, so a model is loaded there and only there.
+    The factory runs once per task, on the executor, so a model is loaded there and only there. The
+    encoder gets at most ``TEXTS_AT_ONCE`` texts at a time, so memory does not follow Spark's batches.
     """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_factory()
-        for batch in batches:
-            vectors = unit_rows(encoder(batch.column(1).to_pylist())).astype(np.float32)
-            flat = pa.array(vectors.ravel())
-            offsets = np.arange(0, len(flat) + 1, vectors.shape[1], dtype=np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.ListArray.from_arrays(pa.array(offsets), flat)],
-                names=[id_column, "embedding"])
+        for whole in batches:
+            for start in range(0, whole.num_rows, TEXTS_AT_ONCE):
+                batch = whole.slice(start, TEXTS_AT_ONCE)
+                vectors = unit_rows(encoder(batch.column(1).to_pylist())).astype(np.float32)
+                flat = pa.array(vectors.ravel())
+                offsets = np.arange(0, len(flat) + 1, vectors.shape[1], dtype=np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), pa.ListArray.from_arrays(pa.array(offsets), flat)],
+                    names=[id_column, "embedding"])
 
     schema = T.StructType([
         T.StructField(id_column, df.schema[id_column].dataType),

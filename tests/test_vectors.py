@@ -204,3 +204,23 @@ def test_a_grid_has_a_cell_for_each_core(rows, blocks):
     from obslake.operators.neighbours import BLOCK_ROWS, grid_size
 
     assert grid_size(rows, BLOCK_ROWS, 8) == blocks
+
+
+def test_encoder_gets_few_texts_at_a_time(spark):
+    """However many rows Spark hands over at once; the vectors are those of the whole batch."""
+    class Watched(LexicalEncoder):
+        def __call__(self, texts):
+            assert 0 < len(texts) <= 64
+            return super().__call__(texts)
+
+    texts = [f"round {i} new {i % 7}" for i in range(1_000)]
+    rows = spark.createDataFrame([(f"a{i:04d}", t) for i, t in enumerate(texts)], "article_id string, title string")
+    got = encode_text(rows.coalesce(1), F.col("title"), Watched).orderBy("article_id").collect()
+    assert [r["article_id"] for r in got] == [f"a{i:04d}" for i in range(1_000)]
+    assert np.allclose([r["embedding"] for r in got], LexicalEncoder()(texts), atol=1e-6)
+
+
+def test_encoder_remembers_few_words():
+    encoder = LexicalEncoder()
+    encoder([" ".join(f"w{i}" for i in range(k, k + 1_000)) for k in range(0, 120_000, 1_000)])
+    assert len(encoder._buckets) <= 50_000
