@@ -39,6 +39,11 @@ def _read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> Data
         return spark.createDataFrame([], schema)
 
 
+def dealt(rows: DataFrame) -> DataFrame:
+    """The same rows in tasks of the advisory size, whatever the tasks or keys they come from."""
+    return rows.withColumn("_deal", F.monotonically_increasing_id()).hint("rebalance", "_deal").drop("_deal")
+
+
 def append_batch(
     batch: DataFrame, batch_id: int, companies: DataFrame, root: str,
     rules: Rules = DEFAULT_RULES,
@@ -46,11 +51,12 @@ def append_batch(
     """Clean one micro-batch and write its change folder, one row per article.
 
     When a batch holds an article more than once, the newest file wins, then the last row by
-    content, so a replay picks the same one.
+    content, so a replay picks the same one. A file is one task however large it is, so its rows are
+    dealt out before they are sorted.
     """
     order = F.struct("file_time", "source_file", F.to_json(F.struct(*RAW_ARTICLES.names)))
     newest = materialise(latest_observation(
-        batch.withColumn("_order", order), ["article_id"], "_order", "source_file"), "batch")
+        dealt(batch).withColumn("_order", order), ["article_id"], "_order", "source_file"), "batch")
     cleaned = clean_articles(newest, companies, rules)
     cleaned.write.mode("overwrite").parquet(f"{root}/changes/batch_id={batch_id}")
 

@@ -8,6 +8,7 @@ from obslake.plans.gold import fact_arr_observation
 from obslake.plans.silver import clean_articles
 from obslake.schemas import RAW_ARTICLES
 from obslake.sources.files import csv_options, read_articles, read_companies
+from obslake.streaming import incremental
 from obslake.streaming.incremental import append_batch, compact, current_articles, start_ingest
 from tests.news import truth, write_articles, write_companies
 
@@ -100,3 +101,23 @@ def test_parsers_run_on_a_stream(spark, place):
     query.awaitTermination()
     got = {r["article_id"]: (r["arr_usd"], r["date"]) for r in spark.table("parsed_stream").collect()}
     assert got == {r["cells"]["article_id"]: (r["amount"], r["day"]) for r in truth()[300:320]}
+
+
+def test_rows_of_a_file_are_dealt_out_before_they_are_sorted(spark, place, monkeypatch):
+    """One file is one task of the reader: no sort may stand between it and the first shuffle."""
+    cells = [r["cells"] for r in truth()[30:50]]
+    companies = read_companies(spark, str(place / "companies.json"))
+    write_articles(place / "in" / "one.csv", [*cells, {**cells[0], "revenue": "zzz"}, cells[1]])
+    batch = read_articles(spark, str(place / "in")).withColumnRenamed("ingested_at", "file_time")
+    plans, write = [], incremental.materialise
+
+    def watched(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, name)
+
+    monkeypatch.setattr(incremental, "materialise", watched)
+    append_batch(batch, 0, companies, str(place / "out"))
+    lines = plans[0].splitlines()  # the last steps come first
+    dealt = next(i for i, line in enumerate(lines) if "REBALANCE" in line)
+    assert not any("Sort [article_id" in line or "WindowGroupLimit" in line for line in lines[dealt:])
+    assert len(state(spark, place)) == 20
