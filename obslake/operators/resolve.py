@@ -16,6 +16,8 @@ from obslake.operators.lookup import lookup_join
 from obslake.rules import DEFAULT_RULES, Rules
 from obslake.session import materialise
 
+# up to so many canonical names Spark may broadcast their keys; it knows the files they come from, not the keys
+BROADCAST_NAMES = 100_000
 STAGES = ("alias", "exact", "case_insensitive", "compact", "fuzzy")
 ALIAS, EXACT, CASELESS, COMPACT, FUZZY = range(5)
 
@@ -59,16 +61,21 @@ def resolve_names(
     """Resolve a column ``name`` against a column ``canonical``: (name, canonical, stage).
 
     Only resolved names are returned. The stages before the fuzzy one are run at once and kept as
-    a table, since both the answer and the fuzzy stage read them.
+    a table, since both the answer and the fuzzy stage read them; so are the canonical names.
     """
-    canonicals = canonicals.select("canonical").where(F.col("canonical").isNotNull()).distinct()
+    canonicals = materialise(
+        canonicals.select("canonical").where(F.col("canonical").isNotNull()).distinct(),
+        "canonical-names")
+    keys = canonical_keys(canonicals, rules)
+    if canonicals.count() > BROADCAST_NAMES:
+        keys = keys.hint("merge")
     name = F.col("name")
     blocked = name.isin(*rules.unresolvable_companies)
     distinct = names.select(strip(name).alias("name")).where(name != "").distinct()
     asked = distinct.select("name", F.inline(
         F.when(blocked, F.array(_alias_key(name))).otherwise(
             F.concat(F.array(_alias_key(name)), _keys(name)))))
-    answered = lookup_join(asked, canonical_keys(canonicals, rules), ["stage", "key"])
+    answered = lookup_join(asked, keys, ["stage", "key"])
     hit = F.when(F.col("canonical").isNotNull(), F.struct("stage", "canonical"))
     staged = materialise(
         answered.groupBy("name").agg(F.min(hit).alias("hit"))

@@ -2,9 +2,10 @@
 
 import random
 
+import pandas as pd
 import pytest
 
-from obslake.operators import fuzzy
+from obslake.operators import fuzzy, resolve
 from obslake.operators.fuzzy import best_fuzzy_match, indel_ratio
 from obslake.operators.resolve import resolve_names, with_company
 from obslake.session import materialise
@@ -152,3 +153,97 @@ def test_pieces_beyond_the_limit_are_never_broadcast(spark, monkeypatch):
     assert plan.count("SortMergeJoin") == 1
     joins = [line for line in plan.splitlines() if "BroadcastHashJoin" in line]
     assert len(joins) == 1 and "LeftSemi" in joins[0]  # only the lengths that occur
+
+
+def _hex_names(count):
+    """Canonical names without a pattern, and each with a character cut out or overwritten by two."""
+    rng = random.Random(11)
+    canon = sorted({"".join(rng.choice("0123456789abcdef") for _ in range(20)) for _ in range(count)})
+    names = [c[:at] + ("" if i % 2 else "zz") + c[at + 1:]
+             for i, c in enumerate(canon) for at in [i % 20]]
+    return names, canon
+
+
+def test_names_without_a_pattern_meet_few_others(spark):
+    """20 characters and 3 edits: 4 pieces of 5 characters, each looked for in at most 3 places."""
+    names, canon = _hex_names(4000)
+    named = materialise(spark.createDataFrame([(n,) for n in names], "name string"), "names")
+    canonicals = spark.createDataFrame([(c,) for c in canon], "canonical string")
+    right, crowded = fuzzy._canonical_pieces(named, canonicals, 88.0)
+    left = fuzzy._name_pieces(named, 88.0, many=True)
+    assert crowded is None
+    assert right.where("allowed = 3").count() == 4 * 4000
+    met = left.join(right, "key").where("name != canonical").select("name", "canonical").distinct()
+    assert 4000 <= met.count() < 1.2 * 4000  # 39,742 with pieces of three characters
+
+
+def test_uncrowded_pieces_are_not_copied(spark, monkeypatch):
+    monkeypatch.setattr(fuzzy, "BROADCAST_LIMIT", 0)
+    names, canon = _hex_names(300)
+    pairs = fuzzy._candidates(
+        materialise(spark.createDataFrame([(n,) for n in names], "name string"), "names"), 300,
+        spark.createDataFrame([(c,) for c in canon], "canonical string"), 88.0, many=True)
+    assert "salt" not in pairs._jdf.queryExecution().optimizedPlan().toString()
+    assert {(r["name"], r["canonical"]) for r in pairs.collect()} >= set(zip(names, canon))
+
+
+@pytest.mark.parametrize("crowded,limit", [(0, 0), (2, 0), (2, fuzzy.BROADCAST_LIMIT)])
+@pytest.mark.parametrize("threshold", [88.0, 75.0])
+def test_crowded_pieces_lose_no_match(spark, monkeypatch, crowded, limit, threshold):
+    """Finer cuts, salts and both cuts side by side give what brute force gives."""
+    monkeypatch.setattr(fuzzy, "FEW_PAIRS", 0)
+    monkeypatch.setattr(fuzzy, "CROWDED", crowded)
+    monkeypatch.setattr(fuzzy, "BROADCAST_LIMIT", limit)
+    rng = random.Random(5)
+    canon = sorted({f"Customer#{rng.randrange(500):05d}" for _ in range(60)}
+                   | {"".join(rng.choice("ab") for _ in range(rng.randint(1, 24))) for _ in range(60)}
+                   | {"x" * 70 + c * 9 for c in "abc"})
+    names = set()
+    for base in canon * 4:
+        text = list(base)
+        for _ in range(rng.randint(0, 5)):
+            at = rng.randrange(len(text) + 1)
+            text[at:at + rng.randint(0, 1)] = rng.choice(["", "a", "0", "é", "\U0001f600"])
+        if "".join(text).strip():
+            names.add("".join(text))
+    expected = {}
+    for n in names:
+        ranked = sorted((-indel_ratio(n.lower(), c.lower()), c) for c in canon)
+        if -ranked[0][0] >= threshold:
+            expected[n] = (ranked[0][1], -ranked[0][0])
+    got = best_fuzzy_match(
+        spark.createDataFrame([(n,) for n in sorted(names)], "name string"),
+        spark.createDataFrame([(c,) for c in canon], "canonical string"), threshold)
+    assert {r["name"]: (r["canonical"], r["score"]) for r in got.collect()} == expected
+    assert len(expected) > 100
+
+
+def test_batch_scorer_equals_the_single_one():
+    rng = random.Random(3)
+    pairs = [("", ""), ("", "a"), ("a", ""), ("a\0", "a"), ("\0", "\0\0"), ("\U0001f600a", "a\U0001f600")]
+    for most in (3, 16, 17, 63, 64, 65, 150):
+        for _ in range(60):
+            pairs.append(tuple("".join(rng.choice("ab\0é\U0001f600") for _ in range(rng.randint(0, most)))
+                               for _ in range(2)))
+        pairs.append(("a" * most, "a" * most))
+    a, b = (pd.Series(x, dtype=object) for x in zip(*pairs))
+    assert list(fuzzy.indel_ratio_udf.func(a, b)) == [indel_ratio(x, y) for x, y in pairs]
+    assert len(fuzzy.indel_ratio_udf.func(a[:0], b[:0])) == 0
+
+
+def test_keys_of_many_canonical_names_are_not_broadcast(spark, monkeypatch):
+    """Spark knows the size of the files the names come from, not of the three keys of each."""
+    plans = []
+
+    def watched(left, right, on):
+        joined = left.join(right, on, "left")
+        plans.append(joined._jdf.queryExecution().executedPlan().toString())
+        return joined
+
+    monkeypatch.setattr(resolve, "lookup_join", watched)
+    monkeypatch.setattr(resolve, "BROADCAST_NAMES", 2)
+    canonicals = spark.createDataFrame([("OpenAI",), ("Tesla",), ("Uber",)], "canonical string")
+    names = spark.createDataFrame([("OPENAI",), ("Ubers",), ("nobody",)], "name string")
+    got = {r["name"]: r["canonical"] for r in resolve_names(names, canonicals).collect()}
+    assert got == {"OPENAI": "OpenAI", "Ubers": "Uber"}
+    assert "SortMergeJoin" in plans[0] and "BroadcastHashJoin" not in plans[0]
